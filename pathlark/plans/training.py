@@ -171,7 +171,7 @@ def grid_search_cv(
         estimator=holder, estimatorParamMaps=grid, evaluator=AveragePrecision(), numFolds=folds,
         parallelism=parallel, foldCol=FOLD,
     ).fit(train)
-    scores = list(search.avgMetrics)
+    scores = [float(v) for v in search.avgMetrics]
     best = max(range(len(scores)), key=scores.__getitem__)
     return Candidate(name, scores[best], options[best][0], search.bestModel), scores
 

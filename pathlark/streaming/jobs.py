@@ -47,8 +47,14 @@ def batch_sink(rows: DataFrame, step: Callable[[DataFrame, int], None], checkpoi
     return _start(writer.foreachBatch(step), timing)
 
 
-def console_sink(rows: DataFrame, timing: Timing, mode: str = "append") -> StreamingQuery:
-    return _start(rows.writeStream.format("console").option("truncate", False).outputMode(mode), timing)
+def console_sink(rows: DataFrame, order: str, checkpoint: str, timing: Timing, shown: int = 20) -> StreamingQuery:
+    """Print the top of every micro-batch. Only the rows shown reach the driver, which the built-in
+    console format does not promise."""
+    def step(batch: DataFrame, batch_id: int) -> None:
+        print(f"batch {batch_id}")
+        batch.orderBy(F.desc(order)).show(shown, truncate=False)
+
+    return batch_sink(rows, step, checkpoint, timing)
 
 
 def memory_sink(rows: DataFrame, name: str, timing: Timing, mode: str = "append") -> StreamingQuery:
