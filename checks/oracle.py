@@ -304,8 +304,7 @@ def build() -> dict[str, str]:
       CAST(behavior_type IN ('cart','fav') AS INT) AS is_cart_or_fav FROM beh""")
     o["behavior_type_desc"] = with_(EVENTS, """SELECT id, CASE behavior_type WHEN 'pv' THEN '浏览' WHEN 'cart' THEN '加购'
       WHEN 'fav' THEN '收藏' WHEN 'buy' THEN '购买' ELSE behavior_type END AS description FROM raw_beh""")
-    o["popularity_level"] = with_(scored, f"""SELECT DISTINCT user_id, item_id, pv_count_5min, is_cart_or_fav,
-      round({rates}, 9) AS score, {level(rates)} AS level FROM scored""")
+    o["popularity_level"] = with_(scored, f"""SELECT window_start, user_id, item_id, round({rates}, 9) AS score, {level(rates)} AS level FROM scored""")
     o["category_match"] = with_(base(), "SELECT id, CAST(category_id = high_freq_category AS INT) AS category_match FROM beh JOIN uf USING (user_id)")
     o["clip_pv"] = with_(BEH, "SELECT user_id, category_id, least(count(*), 5) AS clipped FROM beh GROUP BY ALL")
     o["clamp_probability"] = with_(base(), "SELECT user_id, greatest(0.0, least(1.0, buy_rate)) AS p FROM uf")

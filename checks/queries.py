@@ -23,7 +23,7 @@ from pathlark.plans import evaluate as EV
 from pathlark.plans import recommend as RC
 from pathlark.plans import refresh as RF
 from pathlark.plans import training as TR
-from pathlark.session import ROCKSDB, fresh_path, use_utc
+from pathlark.session import ROCKSDB, fresh_path, stored, use_utc
 from pathlark.sources import adapters as A
 from pathlark.sources import feeds as FD
 from pathlark.streaming import jobs as JB
@@ -268,10 +268,9 @@ def _(s, d):
 @query("popularity_level")
 def _(s, d):
     level = labels.popularity_level(F.col("score"))
-    _, u, i = tables(s, d)
-    known = RC.distinct_features(windows(s, d))
-    scored = score_tree_ensemble(J.join_user_features(known, u)).select(
-        "user_id", "item_id", "pv_count_5min", "is_cart_or_fav", F.col("predict_score").alias("score")
+    _, u, _ = tables(s, d)
+    scored = score_tree_ensemble(J.join_user_features(windows(s, d), u)).select(
+        "window_start", "user_id", "item_id", F.col("predict_score").alias("score")
     )
     return scored.withColumn("level", level)
 
@@ -511,7 +510,7 @@ def _(s, d):
 def _(s, d):
     ev = A.table(s, d, "events")
     rows = ev.select(F.col("value").alias("v"), (F.col("event_type") == "purchase").cast("int").alias("y"))
-    return E.precision_recall_points(E.score_counts(rows, "v", "y"))
+    return E.precision_recall_points(stored(E.score_counts(rows, "v", "y"), "score_counts"))
 
 
 @query("classification_report")
@@ -630,12 +629,12 @@ def _(s, d):
 
 @query("downsample_negatives")
 def _(s, d):
-    return P.downsample_negatives(TR.stored(samples(s, d), "samples"), ratio=2)
+    return P.downsample_negatives(stored(samples(s, d), "samples"), ratio=2)
 
 
 @query("train_test_split")
 def _(s, d):
-    return P.train_test_split(TR.stored(samples(s, d), "samples")).select("user_id", "item_id", "is_test")
+    return P.train_test_split(stored(samples(s, d), "samples")).select("user_id", "item_id", "is_test")
 
 
 @query("with_folds")

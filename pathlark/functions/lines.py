@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 from pathlark import schemas as S
 
 # What counts as blank space around a field, and as an integer.
-_EDGE_SPACE = r"^[\x00-\x20]+|[\x00-\x20]+$"
+_SPACE = "".join(map(chr, range(0x21)))
 _INTEGER = r"^[+-]?[0-9]+$"
-_TRAILING_EMPTY = r",+$"
 
 REASONS = (
     "blank", "field_count", "user_id", "item_id", "category_id",
@@ -23,12 +22,12 @@ REASONS = (
 
 def strip(text: Column) -> Column:
     """Remove control characters and spaces at both ends (more than SQL ``trim`` does)."""
-    return F.regexp_replace(text, _EDGE_SPACE, "")
+    return F.btrim(text, F.lit(_SPACE))
 
 
 def fields(line: Column) -> Column:
     """Comma-separated fields; empty fields at the end do not count."""
-    return F.split(F.regexp_replace(strip(line), _TRAILING_EMPTY, ""), ",", -1)
+    return F.split(F.rtrim(strip(line), F.lit(",")), ",", -1)
 
 
 def to_long(text: Column) -> Column:
@@ -43,27 +42,24 @@ def to_seconds(stamp: Column) -> Column:
     return F.when(millis, F.call_function("div", stamp, F.lit(1000).cast("bigint"))).otherwise(stamp)
 
 
-def normalized_line(line: Column) -> Column:
+def normalized_line(line: Column, f: Column, stamp: Column) -> Column:
     """The line with a millisecond stamp rewritten; lines of another shape pass through."""
-    f = fields(line)
-    stamp = to_long(F.get(f, F.lit(4)))
     seconds = to_seconds(stamp)
     rewritten = F.concat_ws(",", F.slice(f, 1, 4), seconds.cast("string"))
     return F.when((F.size(f) == 5) & (seconds != stamp), rewritten).otherwise(line)
 
 
-def reject_reason(line: Column, f: Column, user: Column, item: Column, category: Column,
+def reject_reason(line: Column, parts: Column, user: Column, item: Column, category: Column,
                   kind: Column, stamp: Column) -> Column:
     """The first rule the line breaks, in reading order; NULL for a good line.
 
-    A field that is not a number is noticed when its turn comes, so ``0,x,…`` is a bad user.
+    ``parts`` is the number of fields, 0 for a blank line. A field that is not a number is noticed
+    when its turn comes, so ``0,x,…`` is a bad user.
     """
     def positive(col: Column, name: str, chain: Column) -> Column:
         return chain.when(col.isNull(), F.lit("non_numeric")).when(col <= 0, F.lit(name))
 
-    chain = F.when(line.isNull() | (strip(line) == ""), F.lit("blank")).when(
-        F.size(f) != 5, F.lit("field_count")
-    )
+    chain = F.when(line.isNull() | (parts == 0), F.lit("blank")).when(parts != 5, F.lit("field_count"))
     chain = positive(user, "user_id", chain)
     chain = positive(item, "item_id", chain)
     chain = positive(category, "category_id", chain)

@@ -17,27 +17,30 @@ def parse_lines(raw: DataFrame, normalize_first: bool = True, line: str = "value
     With ``normalize_first`` a millisecond stamp is repaired before its range is checked; without
     it such a line is out of range, as in a job that filters before it normalises.
     """
-    # Each step is its own projection so that the split happens once per line.
     split = raw.withColumn("_f", L.fields(F.col(line)))
+    blank = F.coalesce(L.strip(F.col(line)) == "", F.lit(True))
+    whole = F.size("_f") == 5  # junk of another shape is not looked at any further
 
     def part(i: int):
-        return F.get(F.col("_f"), F.lit(i))
+        return F.when(whole, F.get(F.col("_f"), F.lit(i)))
 
     stamp = L.to_long(part(4))
-    typed = split.select(
-        *raw.columns,
-        "_f",
+    typed = F.struct(
         L.to_long(part(0)).alias("user_id"),
         L.to_long(part(1)).alias("item_id"),
         L.to_long(part(2)).alias("category_id"),
         F.lower(L.strip(part(3))).alias("behavior_type"),
         (L.to_seconds(stamp) if normalize_first else stamp).alias("behavior_time"),
+        F.when(blank, 0).otherwise(F.size("_f")).alias("_parts"),
     )
+    # ``inline`` of one struct yields one row, and later filters on the fields stay above it: they
+    # see finished values, where a plain projection would have them parse the line once more each.
+    once = split.select(*raw.columns, F.inline(F.array(typed)))
     reason = L.reject_reason(
-        F.col(line), F.col("_f"), F.col("user_id"), F.col("item_id"),
+        F.col(line), F.col("_parts"), F.col("user_id"), F.col("item_id"),
         F.col("category_id"), F.col("behavior_type"), F.col("behavior_time"),
     )
-    return typed.withColumn("reject_reason", reason).drop("_f")
+    return once.withColumn("reject_reason", reason).drop("_parts")
 
 
 def clean_valid(raw: DataFrame, normalize_first: bool = True, line: str = "value") -> DataFrame:
@@ -70,7 +73,9 @@ def time_normalize(rows: DataFrame, stamp: str = "behavior_time") -> DataFrame:
 
 
 def normalize_lines(raw: DataFrame, line: str = "value") -> DataFrame:
-    return raw.withColumn(line, L.normalized_line(F.col(line)))
+    split = raw.withColumn("_f", L.fields(F.col(line)))
+    read = split.withColumn("_t", F.when(F.size("_f") == 5, L.to_long(F.get(F.col("_f"), F.lit(4)))))
+    return read.withColumn(line, L.normalized_line(F.col(line), F.col("_f"), F.col("_t"))).drop("_f", "_t")
 
 
 def valid_rows(rows: DataFrame) -> DataFrame:

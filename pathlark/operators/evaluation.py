@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pathlark import schemas as S
 from pathlark.functions.numeric import safe_ratio
 from pathlark.operators.joins import semi_rec
+from pathlark.session import stored
 
 SCORE_CUTS = 256  # score ranges the running sums are split into
 
@@ -61,9 +62,10 @@ def average_precision(counts: DataFrame, cuts: int = SCORE_CUTS) -> DataFrame:
     """Σ (recall step) · precision over descending distinct scores; 0 without positives.
 
     Equal scores form one step, and nothing is interpolated. The steps add up to Σ pos·precision,
-    divided by all positives once at the end.
+    divided by all positives once at the end. The counts are stored first: the cuts, the range
+    totals and the running sums each read them.
     """
-    points = precision_recall_points(counts, cuts)
+    points = precision_recall_points(stored(counts, "score_counts"), cuts)
     step = F.col("pos").cast("double") * (F.col("cum_pos").cast("double") / F.col("cum_n").cast("double"))
     out = points.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),

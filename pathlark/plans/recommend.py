@@ -24,24 +24,13 @@ def score_features(
     return scored.withColumn("final_score", final_score(F.col("predict_score"), F.col("popularity_score")))
 
 
-def distinct_features(windows: DataFrame) -> DataFrame:
-    """Window features without their windows: each distinct set once, with its first window end.
-
-    Overlapping windows mostly repeat a pair's features, and a score depends on nothing else, so
-    the joins and the model see a fraction of the rows.
-    """
-    return windows.groupBy("user_id", "item_id", "category_id", "pv_count_5min", "is_cart_or_fav").agg(
-        F.min("window_end").alias("first_seen")
-    )
-
-
 def best_predictions(
     windows: DataFrame, users: DataFrame, model: Ensemble = STARTER, hot_rows: int | None = None
 ) -> DataFrame:
     """Highest P(buy) per (user, item) and when the pair was first scored."""
-    known = join_user_features(distinct_features(windows), users, hot_rows)
-    return score_tree_ensemble(known, model).groupBy("user_id", "item_id").agg(
-        F.max("predict_score").alias("predict_score"), F.min("first_seen").alias("create_time")
+    scored = score_tree_ensemble(join_user_features(windows, users, hot_rows), model)
+    return scored.groupBy("user_id", "item_id").agg(
+        F.max("predict_score").alias("predict_score"), F.min("window_end").alias("create_time")
     )
 
 

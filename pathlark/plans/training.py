@@ -22,7 +22,7 @@ from pathlark.functions.trees import Ensemble, ensemble_from_nodes
 from pathlark.operators.evaluation import pr_auc_average_precision
 from pathlark.operators.features import agg_training_samples, item_features, project_features, user_features
 from pathlark.operators.sampling import class_balance_weight, downsample_negatives, train_test_split, with_folds
-from pathlark.session import fresh_path
+from pathlark.session import stored
 
 # --- Fixed values: the search grid ---------------------------------------------------------
 GBT_TREES, GBT_DEPTH, GBT_RATE = (50, 100), (3, 5), (0.05, 0.1)
@@ -40,13 +40,6 @@ def build_training_set(behaviors: DataFrame) -> DataFrame:
     return agg_training_samples(behaviors, user_features(behaviors), item_features(behaviors))
 
 
-def stored(rows: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: many passes follow, and lineage ends here."""
-    path = fresh_path(rows.sparkSession, name)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 @dataclass
 class Prepared:
     train: DataFrame

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -67,3 +67,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/pathlark/{name}-{uuid.uuid4().hex}"
+
+
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """Write to the shared folder and read back.
+
+    For a result that several later steps read: it is computed once, its lineage ends here, and a
+    lost executor costs a re-read instead of a recomputation.
+    """
+    path = fresh_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
