@@ -17,6 +17,7 @@ def spark():
         "tests", "local[8]", 4,
         **{
             "spark.driver.memory": "6g",
+            "spark.sql.maxMetadataStringLength": "2000",
             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-", dir="/tmp"),
             "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         },
