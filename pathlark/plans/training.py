@@ -22,7 +22,7 @@ from pathlark.functions.trees import Ensemble, ensemble_from_nodes
 from pathlark.operators.evaluation import pr_auc_average_precision
 from pathlark.operators.features import agg_training_samples, item_features, project_features, user_features
 from pathlark.operators.sampling import class_balance_weight, downsample_negatives, train_test_split, with_folds
-from pathlark.session import stored
+from pathlark.session import stored, use_utc
 
 # --- Fixed values: the search grid ---------------------------------------------------------
 GBT_TREES, GBT_DEPTH, GBT_RATE = (50, 100), (3, 5), (0.05, 0.1)
@@ -48,8 +48,13 @@ class Prepared:
 
 
 def prepare(samples: DataFrame, seed: int = SEED) -> Prepared:
-    """Split 80/20, thin out the negatives of the training part, add weights and folds."""
-    split = stored(train_test_split(stored(samples, "samples"), seed=seed), "split")
+    """Split 80/20, thin out the negatives of the training part, add weights and folds.
+
+    Models are fitted in a session of their own: a fitted logistic regression carries its session
+    along, and one in which rows were ever observed cannot be sent to executors.
+    """
+    own = use_utc(samples.sparkSession.newSession())
+    split = stored(train_test_split(stored(samples, "samples"), seed=seed), "split", own)
     keys = ("user_id", "item_id")
     train = downsample_negatives(split.filter(~F.col("is_test")), seed=seed)
     ready = with_folds(class_balance_weight(train), seed=seed)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,21 +61,24 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.conf.get("spark.master", "local").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    return _local_dir()
+
+
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/pathlark/{name}-{uuid.uuid4().hex}"
 
 
-def stored(rows: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back.
+def stored(rows: DataFrame, name: str, session: SparkSession | None = None) -> DataFrame:
+    """Write to the shared folder and read back, in ``session`` if one is given.
 
     For a result that several later steps read: it is computed once, its lineage ends here, and a
     lost executor costs a re-read instead of a recomputation.
     """
     path = fresh_path(rows.sparkSession, name)
     rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    return (session or rows.sparkSession).read.schema(rows.schema).parquet(path)

@@ -56,3 +56,14 @@ def test_champion(spark, prepared):
 def test_grid_is_complete():
     sizes = {name: len(options) for name, options in TR.full_grid(100).items()}
     assert sizes == {"GradientBoosting": 8, "RandomForest": 4, "LogisticRegression": 3}
+
+
+def test_training_after_observing(spark, sf, workdir):
+    """An observation leaves the session in a state fitted models must not drag along."""
+    from checks.queries import samples
+    from pathlark.operators.sinks import rebuild_table
+
+    rebuild_table(spark.range(5).toDF("x"), f"{workdir}/t").collect()
+    data = TR.prepare(samples(spark, sf))
+    model = TR.train_logreg(1.0, data.train_rows).fit(data.train)
+    assert TR.score_with(model, data.test).filter("predict_score > 0").count() == data.test.count()
