@@ -9,6 +9,7 @@ from pathlark import schemas as S
 from pathlark.functions import lines as L
 from pathlark.functions.labels import cart_or_fav, label_buy
 from pathlark.functions.numeric import behavior_ts
+from pathlark.functions.rows import computed_once
 
 
 def parse_lines(raw: DataFrame, normalize_first: bool = True, line: str = "value") -> DataFrame:
@@ -25,22 +26,20 @@ def parse_lines(raw: DataFrame, normalize_first: bool = True, line: str = "value
         return F.when(whole, F.get(F.col("_f"), F.lit(i)))
 
     stamp = L.to_long(part(4))
-    typed = F.struct(
-        L.to_long(part(0)).alias("user_id"),
-        L.to_long(part(1)).alias("item_id"),
-        L.to_long(part(2)).alias("category_id"),
-        F.lower(L.strip(part(3))).alias("behavior_type"),
-        (L.to_seconds(stamp) if normalize_first else stamp).alias("behavior_time"),
-        F.when(blank, 0).otherwise(F.size("_f")).alias("_parts"),
+    once = computed_once(
+        split,
+        user_id=L.to_long(part(0)),
+        item_id=L.to_long(part(1)),
+        category_id=L.to_long(part(2)),
+        behavior_type=F.lower(L.strip(part(3))),
+        behavior_time=L.to_seconds(stamp) if normalize_first else stamp,
+        _parts=F.when(blank, 0).otherwise(F.size("_f")),
     )
-    # ``inline`` of one struct yields one row, and later filters on the fields stay above it: they
-    # see finished values, where a plain projection would have them parse the line once more each.
-    once = split.select(*raw.columns, F.inline(F.array(typed)))
     reason = L.reject_reason(
         F.col(line), F.col("_parts"), F.col("user_id"), F.col("item_id"),
         F.col("category_id"), F.col("behavior_type"), F.col("behavior_time"),
     )
-    return once.withColumn("reject_reason", reason).drop("_parts")
+    return once.withColumn("reject_reason", reason).drop("_f", "_parts")
 
 
 def clean_valid(raw: DataFrame, normalize_first: bool = True, line: str = "value") -> DataFrame:

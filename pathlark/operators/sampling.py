@@ -75,11 +75,14 @@ def train_test_split(
 
 
 def class_balance_weight(samples: DataFrame, label: str = "buy_label", out: str = "weight") -> DataFrame:
-    """n / (2 · rows of the class). The counts are one row per class."""
-    counts = samples.groupBy(label).agg(F.count(F.lit(1)).alias("_c"))
-    total = samples.agg(F.count(F.lit(1)).alias("t")).scalar()
-    weights = counts.select(label, (total.cast("double") / (F.col("_c") * 2).cast("double")).alias(out))
-    return samples.join(F.broadcast(weights.limit(2)), label)
+    """n / (2 · rows of the class). Both counts are one scalar each, so nothing is joined."""
+    def scalar(value: Column) -> Column:
+        return samples.agg(value.cast("double").alias("v")).scalar()
+
+    total = scalar(F.count(F.lit(1)))
+    positive = scalar(F.count_if(F.col(label) == 1))
+    rows = F.when(F.col(label) == 1, positive).otherwise(total - positive)
+    return samples.withColumn(out, total / (rows * 2))
 
 
 def with_folds(samples: DataFrame, keys: Sequence[str] = ("user_id", "item_id"), folds: int = 3,

@@ -19,8 +19,12 @@ _REC_VALUES = ("predict_score", "popularity_score", "final_score", "rank_no")
 
 # --- plain tables -----------------------------------------------------------------------------
 def append_behavior(rows: DataFrame, path: str) -> None:
-    """Append, one folder per day, so range reads skip days."""
-    _by_day(rows, "create_time").write.mode("append").partitionBy("day").parquet(path)
+    """Append, one folder per day, so range reads skip days.
+
+    Rows are brought together by day before writing (few files per day), and AQE splits a heavy day
+    into several tasks.
+    """
+    _by_day(rows, "create_time").hint("rebalance", "day").write.mode("append").partitionBy("day").parquet(path)
 
 
 def _by_day(rows: DataFrame, column: str) -> DataFrame:
@@ -115,12 +119,12 @@ def compact(spark: SparkSession, path: str, new_path: str, batch_id: int) -> Non
     write_changes(read_recommendations(spark, path), new_path, batch_id)
 
 
-def write_serving(rows: DataFrame, path: str, as_of: Column, buckets: int = 64) -> None:
+def write_serving(rows: DataFrame, path: str, as_of: Column, buckets: int = 256) -> None:
     """Ranked serving rows, in folders by user hash so that a look-up reads one of them."""
     (
         rows.withColumn("updated_at", as_of)
         .withColumn("user_bucket", user_bucket(buckets))
-        .repartition("user_bucket")
+        .hint("rebalance", "user_bucket")
         .sortWithinPartitions("user_id", "serving_rank")
         .write.mode("overwrite").partitionBy("user_bucket").parquet(path)
     )

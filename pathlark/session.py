@@ -46,8 +46,9 @@ def build_session(
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
-    """All stamps are UTC; the setting may be changed on a running session."""
+    """Settings a running session needs: all stamps are UTC, skewed joins are always split."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     return spark
 
 

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathlark import schemas as S
 from pathlark.functions.numeric import epoch_of_ntz
+from pathlark.functions.rows import computed_once
 from pathlark.operators.cleaning import valid_rows
 
 # Fixed values of the mapping.
@@ -46,8 +46,8 @@ def _item_number():
 
 def behaviors_from_events(events: DataFrame) -> DataFrame:
     """Typed rows, ids moved up by one so that none is zero; ``error`` rows are still there."""
-    k = _item_number()
-    return events.select(
+    k = F.col("k")
+    return computed_once(events, k=_item_number()).select(
         F.col("event_id").alias("id"),
         (F.col("user_id") + 1).alias("user_id"),
         (k + 1).alias("item_id"),
@@ -115,6 +115,3 @@ def order_behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def behaviors(spark: SparkSession, sf_dir: str, source: str = "events") -> DataFrame:
     return {"events": event_behaviors, "orders": order_behaviors}[source](spark, sf_dir)
 
-
-def schema_of(name: str):
-    return getattr(S, name.upper())

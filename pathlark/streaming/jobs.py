@@ -13,12 +13,13 @@ from pyspark.sql.streaming.listener import StreamingQueryListener
 from pathlark import schemas as S
 from pathlark.functions.trees import STARTER, Ensemble
 from pathlark.operators.cleaning import clean_valid, parse_lines, with_event_time
-from pathlark.operators.ranking import top_per_user, topk_per_user
+from pathlark.operators.ranking import topk_per_user
 from pathlark.operators.sinks import CHANGES, read_changes, write_changes
 from pathlark.operators.windows import hot_items_two_phase, watermarked, win_sliding_features
 from pathlark.plans.recommend import score_features
 
 CLEAN_METRICS = "clean_metrics"
+SNAPSHOT_EVERY = 50
 
 
 @dataclass
@@ -156,11 +157,10 @@ def stream_score(features: DataFrame, tables: Tables, path: str, checkpoint: str
     return batch_sink(features, step, checkpoint, timing)
 
 
-def current_lists(log: DataFrame, before: int | None = None) -> DataFrame:
-    """Each user's newest list in a log of whole lists, from batches before ``before``."""
-    rows = log if before is None else log.filter(F.col("batch_id") < before)
-    newest = rows.groupBy("user_id").agg(F.max("batch_id").alias("batch_id"))
-    return rows.join(newest, ["user_id", "batch_id"], "left_semi")
+def current_lists(log: DataFrame) -> DataFrame:
+    """Each user's newest list in a log of whole lists."""
+    newest = log.groupBy("user_id").agg(F.max("batch_id").alias("batch_id"))
+    return log.join(newest, ["user_id", "batch_id"], "left_semi")
 
 
 def _log_or_empty(spark: SparkSession, path: str) -> DataFrame:
@@ -172,20 +172,24 @@ def _log_or_empty(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], CHANGES)
 
 
-def merge_topk(scored: DataFrame, path: str, batch_id: int, k: int = S.TOP_K, time: str = "window_end") -> None:
+def merge_topk(scored: DataFrame, path: str, batch_id: int, k: int = S.TOP_K, time: str = "window_end",
+               every: int = SNAPSHOT_EVERY) -> None:
     """Fold one micro-batch of scores into the users' lists and log the changed lists.
 
     A list only needs its k entries to stay exact: an item's best score never falls, so neither
     does the k-th best, and whatever was pushed out must beat it with a new score to return. State
-    is therefore k rows per user, and a batch rewrites only users it touched.
+    is therefore k rows per user, and a batch rewrites only users it touched. Every ``every``-th
+    batch writes all lists, so a batch reads back one full set and fewer than ``every`` changes,
+    however long the job has run; which batch that is follows from the batch number alone.
     """
     spark = scored.sparkSession
     fresh = topk_per_user(scored, k, time).drop("rank_no")
-    log = _log_or_empty(spark, path)
-    touched = fresh.select("user_id").distinct()
-    kept = current_lists(log, batch_id).join(touched, "user_id", "left_semi").select(*fresh.columns)
-    both = kept.unionByName(fresh)
-    best = topk_per_user(both, k, time="create_time")
+    full = max(batch_id - 1, 0) // every * every
+    log = _log_or_empty(spark, path).filter((F.col("batch_id") >= full) & (F.col("batch_id") < batch_id))
+    kept = current_lists(log).select(*fresh.columns)
+    if batch_id % every:
+        kept = kept.join(fresh.select("user_id").distinct(), "user_id", "left_semi")
+    best = topk_per_user(kept.unionByName(fresh), k, time="create_time")
     rows = best.withColumn("recommend_type", F.lit("realtime")).select(*S.RECOMMENDATIONS.fieldNames())
     write_changes(rows, path, batch_id)
 
@@ -203,6 +207,3 @@ def stream_topk(features: DataFrame, tables: Tables, path: str, checkpoint: str,
 def read_lists(spark: SparkSession, path: str) -> DataFrame:
     return current_lists(read_changes(spark, path)).drop("batch_id")
 
-
-def top_of_lists(lists: DataFrame, k: int) -> DataFrame:
-    return top_per_user(lists.drop("rank_no"), k)

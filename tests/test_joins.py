@@ -101,3 +101,30 @@ def test_cold_rows_are_counted(spark):
     b = behaviors(spark, [(1, 1, 1, "pv", 0), (2, 1, 1, "pv", 1), (2, 2, 1, "buy", 0)])
     assert rows(J.count_cold_rows(b, spark.range(1, 2).withColumnRenamed("id", "user_id"))) == [(2,)]
     assert rows(J.count_cold_rows(b, spark.range(1, 3).withColumnRenamed("id", "user_id"))) == [(0,)]
+
+
+def test_adaptive_execution_splits_a_heavy_user(spark, sf):
+    """Without any hint, a user holding a third of the rows is split at run time."""
+    from pathlark.session import use_utc
+
+    use_utc(spark)
+    feats = spark.range(300000).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 5000).cast("bigint").alias("user_id"),
+        F.xxhash64("id").alias("item_id"), (F.col("id") % 9).alias("category_id"))
+    users = spark.range(5000).select(
+        F.col("id").alias("user_id"), F.lit(Dec("0.1000")).cast("decimal(18,4)").alias("buy_rate"),
+        F.lit(Dec("0.1000")).cast("decimal(18,4)").alias("active_score"), F.lit(1).cast("bigint").alias("high_freq_category"))
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k"}
+    before = {k: spark.conf.get(k, None) for k in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        best = J.join_user_features(feats.repartition(8), users).groupBy("user_id", "item_id").agg(F.max("buy_rate"))
+        assert best.count() == 300000
+        best.collect()
+        assert "skew=true" in best._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
