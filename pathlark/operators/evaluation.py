@@ -11,7 +11,7 @@ from pathlark.functions.numeric import safe_ratio
 from pathlark.operators.joins import semi_rec
 from pathlark.session import stored
 
-SCORE_CUTS = 256  # score ranges the running sums are split into
+CUT_LEVELS = 10  # the running sums are split into 2**10 score ranges
 
 
 def score_summary(scored: DataFrame, score: str = "predict_score") -> DataFrame:
@@ -28,21 +28,31 @@ def score_counts(scored: DataFrame, score: str, label: str) -> DataFrame:
     )
 
 
-def precision_recall_points(counts: DataFrame, cuts: int = SCORE_CUTS) -> DataFrame:
-    """Running rows and positives from the highest score down, one row per distinct score.
+def _score_ranges(counts: DataFrame, levels: int) -> DataFrame:
+    """Number the scores' quantile ranges from the top score down.
 
-    The running sum is split by score range, so no task sees all scores: quantiles of the distinct
-    scores cut them into ``cuts`` ranges, ranges are summed up one after another (at most
-    ``cuts + 1`` rows), and each range adds what lies above it to its own running sum. A range is a
-    function of the score alone, so a repeated task gives the same answer.
+    The position among the sorted cuts is found by halving, one small projection per level.
     """
+    cuts = 2**levels
     at = [i / cuts for i in range(1, cuts)]
     bounds = counts.agg(F.percentile_approx("s", at, 10_000).alias("b")).scalar()
-    # nothing but the position in the sorted cuts: ranges are numbered from the top score down
-    ranged = counts.withColumn("_bounds", bounds).select(
-        "s", "n", "pos",
-        F.size(F.filter("_bounds", lambda b: b > F.col("s"))).alias("range"),
-    )
+    found = counts.withColumn("_cuts", bounds).withColumn("_at", F.lit(0))
+    for level in reversed(range(levels)):
+        step = 2**level
+        right = F.get(F.col("_cuts"), F.col("_at") + (step - 1)) <= F.col("s")
+        found = found.withColumn("_at", F.when(right, F.col("_at") + step).otherwise(F.col("_at")))
+    return found.select("s", "n", "pos", (F.lit(cuts - 1) - F.col("_at")).alias("range"))
+
+
+def precision_recall_points(counts: DataFrame, levels: int = CUT_LEVELS) -> DataFrame:
+    """Running rows and positives from the highest score down, one row per distinct score.
+
+    The running sum is split by score range, so no task sees all scores: quantiles of the distinct
+    scores cut them into ``2**levels`` ranges, ranges are summed up one after another (at most one
+    row each), and each range adds what lies above it to its own running sum. A range is a function
+    of the score alone, so a repeated task gives the same answer.
+    """
+    ranged = _score_ranges(counts, levels)
     totals = ranged.groupBy("range").agg(F.sum("n").alias("rn"), F.sum("pos").alias("rpos"))
     before = W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(
@@ -58,14 +68,14 @@ def precision_recall_points(counts: DataFrame, cuts: int = SCORE_CUTS) -> DataFr
     )
 
 
-def average_precision(counts: DataFrame, cuts: int = SCORE_CUTS) -> DataFrame:
+def average_precision(counts: DataFrame, levels: int = CUT_LEVELS) -> DataFrame:
     """Σ (recall step) · precision over descending distinct scores; 0 without positives.
 
     Equal scores form one step, and nothing is interpolated. The steps add up to Σ pos·precision,
     divided by all positives once at the end. The counts are stored first: the cuts, the range
     totals and the running sums each read them.
     """
-    points = precision_recall_points(stored(counts, "score_counts"), cuts)
+    points = precision_recall_points(stored(counts, "score_counts"), levels)
     step = F.col("pos").cast("double") * (F.col("cum_pos").cast("double") / F.col("cum_n").cast("double"))
     out = points.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
@@ -78,9 +88,9 @@ def average_precision(counts: DataFrame, cuts: int = SCORE_CUTS) -> DataFrame:
 
 
 def pr_auc_average_precision(
-    scored: DataFrame, score: str = "predict_score", label: str = "label", cuts: int = SCORE_CUTS
+    scored: DataFrame, score: str = "predict_score", label: str = "label", levels: int = CUT_LEVELS
 ) -> DataFrame:
-    return average_precision(score_counts(scored, score, label), cuts)
+    return average_precision(score_counts(scored, score, label), levels)
 
 
 def classification_report(
