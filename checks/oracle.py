@@ -213,8 +213,8 @@ def sampled(source: str = "orders") -> str:
     return ",".join([base(source), SAMPLES])
 
 
-def hot(size: int, slide: int, source: str = "events", closed: bool = False) -> str:
-    return with_(SOURCE[source], f"""SELECT ws * 1000000 AS window_start, (ws + {size}) * 1000000 AS window_end, item_id, count(*) AS pv
+def hot(size: int, slide: int, source: str = "events", closed: bool = False, ctes: str = "") -> str:
+    return with_(ctes or SOURCE[source], f"""SELECT ws * 1000000 AS window_start, (ws + {size}) * 1000000 AS window_end, item_id, count(*) AS pv
  FROM (SELECT item_id, (behavior_time // {slide}) * {slide} - {slide} * unnest(range(0, {size // slide})) AS ws
        FROM beh WHERE behavior_type = 'pv') GROUP BY ws, item_id
  {"HAVING " + CLOSED.replace("window_end", f"(ws + {size}) * 1000000") if closed else ""}""")
@@ -481,6 +481,7 @@ def build() -> dict[str, str]:
 
     # windows and streams
     o["win_sliding_features"] = with_(BEH + "," + win(30, 10), "SELECT * FROM win")
+    o["win_hot_items"] = hot(300, 60, ctes=FEED + "," + parsed() + f", beh AS ({good})")
     o["win_sliding_features_day"] = with_(BEH + "," + rw, "SELECT * FROM win")
     o["stream_land_behavior"] = with_(
         LINES + "," + parsed("ev_lines"),

@@ -862,6 +862,12 @@ def _(s, d):
     return W.win_sliding_features(C.with_event_time(beh(s, d)))
 
 
+@query("win_hot_items")
+def _(s, d):
+    """Hot items from cleaned raw lines, as the job sees them."""
+    return W.hot_items_two_phase(C.with_event_time(C.clean_valid(feed(s, d))))
+
+
 @query("win_sliding_features_day")
 def _(s, d):
     return windows(s, d)
