@@ -297,6 +297,8 @@ def build() -> dict[str, str]:
       r"""SELECT CASE WHEN regexp_full_match(value, '[0-9]+,[0-9]+,[0-9]+,fav,[0-9]{13}')
         THEN left(value, len(value) - 3) ELSE value END AS value FROM feed""")
     o["parse_behavior"] = with_(LINES + "," + parsed("ev_lines"), f"SELECT {TYPED} FROM parsed")
+    o["format_lines"] = with_(BEH, """SELECT user_id || ',' || item_id || ',' || category_id || ',' || behavior_type || ',' ||
+      behavior_time AS value FROM beh""")
     o["filter_pv"] = with_(BEH, "SELECT item_id, 1 AS cnt FROM beh WHERE behavior_type = 'pv'")
     o["project_features"] = with_(OFFLINE, """SELECT id, buy_rate, active_score, CAST(pv_count_5min AS DOUBLE) AS pv_count_5min,
       CAST(is_cart_or_fav AS DOUBLE) AS is_cart_or_fav, CAST(category_match AS DOUBLE) AS category_match FROM feat""")
@@ -490,6 +492,7 @@ def build() -> dict[str, str]:
         LINES + "," + parsed("ev_lines"), "SELECT count(*) AS total_count, count(reject_reason) AS filtered_count FROM parsed")
     o["stream_win_sliding_features"] = with_(BEH + "," + rw, f"SELECT * FROM win WHERE {CLOSED}")
     o["stream_hot_items"] = o["stream_console"] = hot(REC_SIZE, REC_SLIDE, closed=True)
+    o["stream_user_features"], o["stream_item_features"] = o["user_features"], o["item_features"]
     o["stream_dedupe_behavior"] = with_(BEH, f"SELECT DISTINCT {TYPED}, behavior_time * 1000000 AS event_time FROM beh")
     closed = f",closed AS (SELECT * FROM win WHERE {CLOSED}),"
     shut = ",".join([base(), rw]) + closed + enriched("closed")

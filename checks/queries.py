@@ -244,6 +244,11 @@ def _(s, d):
     return C.parse_lines(A.lines_from_events(A.table(s, d, "events"))).drop("line_no", "value", "reject_reason")
 
 
+@query("format_lines")
+def _(s, d):
+    return C.format_lines(beh(s, d))
+
+
 @query("filter_pv")
 def _(s, d):
     return C.filter_pv(beh(s, d))
@@ -915,6 +920,24 @@ def _(s, d):
     return landed(s, JB.stream_hot_items(row_stream(s, d), REC_SIZE, REC_SLIDE), "hot")
 
 
+def kept_current(s, d):
+    users, items = fresh_path(s, "user_counts"), fresh_path(s, "item_counts")
+    rows = C.valid_rows(A.behaviors_from_events(A.event_stream(s, d)))
+    for q in JB.stream_refresh(rows, users, items, fresh_path(s, "ck"), JB.Timing()):
+        wait(q)
+    return JB.read_refreshed(s, users, items)
+
+
+@query("stream_user_features")
+def _(s, d):
+    return kept_current(s, d)[0]
+
+
+@query("stream_item_features")
+def _(s, d):
+    return kept_current(s, d)[1]
+
+
 @query("stream_dedupe_behavior")
 def _(s, d):
     """Every row twice in the same stream."""

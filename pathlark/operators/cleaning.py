@@ -88,6 +88,13 @@ def valid_rows(rows: DataFrame) -> DataFrame:
     )
 
 
+def format_lines(rows: DataFrame) -> DataFrame:
+    """Behaviour rows as the lines a producer sends."""
+    kind = F.lower(F.trim("behavior_type"))
+    fields = [kind if c == "behavior_type" else F.col(c).cast("string") for c in S.LINE_FIELDS]
+    return rows.select(F.concat_ws(",", *fields).alias("value"))
+
+
 def filter_pv(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("behavior_type") == "pv").select("item_id", F.lit(1).alias("cnt"))
 

@@ -52,10 +52,14 @@ def user_high_freq_category(behaviors: DataFrame) -> DataFrame:
     return counts.groupBy("user_id").agg(_favourite().alias("category_id"))
 
 
-def user_features(behaviors: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """Counts, buy rate, activity and favourite category, in one pass over the behaviours."""
+def user_category_counts(behaviors: DataFrame) -> DataFrame:
+    """Counts per (user, category): all that user features are made of, and small enough to keep."""
+    return _per_user_category(behaviors)
+
+
+def user_features_from_counts(counts: DataFrame, as_of: Column | None = None) -> DataFrame:
     names = ["pv_count", "buy_count", "cart_count", "fav_count"]
-    per_user = _per_user_category(behaviors).groupBy("user_id").agg(
+    per_user = counts.groupBy("user_id").agg(
         *[F.sum(n).alias(n) for n in names],
         F.coalesce(_favourite(), F.lit(0).cast("bigint")).alias("high_freq_category"),
     )
@@ -69,13 +73,20 @@ def user_features(behaviors: DataFrame, as_of: Column | None = None) -> DataFram
     return out if as_of is None else out.withColumn("update_time", as_of)
 
 
-def item_features(behaviors: DataFrame, as_of: Column | None = None) -> DataFrame:
-    out = agg_item_behavior_counts(behaviors).withColumn(
-        "popularity_score", popularity(F.col("pv_count"), F.col("buy_count"))
-    )
+def user_features(behaviors: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Counts, buy rate, activity and favourite category, in one pass over the behaviours."""
+    return user_features_from_counts(user_category_counts(behaviors), as_of)
+
+
+def item_features_from_counts(counts: DataFrame, as_of: Column | None = None) -> DataFrame:
+    out = counts.withColumn("popularity_score", popularity(F.col("pv_count"), F.col("buy_count")))
     return out if as_of is None else out.withColumn("update_time", as_of)
 
 
+def item_features(behaviors: DataFrame, as_of: Column | None = None) -> DataFrame:
+    return item_features_from_counts(agg_item_behavior_counts(behaviors), as_of)
+
+
 # --- per pair ------------------------------------------------------------------------------
 def agg_interactions(history: DataFrame) -> DataFrame:
     """Interaction count (at most 20) and cart-or-fav flag per pair; ``history`` has no buys."""

@@ -38,6 +38,14 @@ def stream_folder(spark: SparkSession, path: str, files_per_trigger: int = 1000)
     return spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)
 
 
+def write_topic(lines: DataFrame, servers: str, topic: str) -> None:
+    """Send lines to a topic. Needs the Kafka connector package on the cluster."""
+    (
+        lines.select("value").write.format("kafka")
+        .option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+    )
+
+
 # --- CSV ----------------------------------------------------------------------------------
 def _text_csv(spark: SparkSession, path: str, required: Sequence[str]) -> DataFrame:
     """All columns as text. Only the header is looked at up front, to check the columns."""

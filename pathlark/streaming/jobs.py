@@ -13,6 +13,9 @@ from pyspark.sql.streaming.listener import StreamingQueryListener
 from pathlark import schemas as S
 from pathlark.functions.trees import STARTER, Ensemble
 from pathlark.operators.cleaning import clean_valid, parse_lines, with_event_time
+from pathlark.operators.features import (
+    agg_item_behavior_counts, item_features_from_counts, user_category_counts, user_features_from_counts,
+)
 from pathlark.operators.ranking import topk_per_user
 from pathlark.operators.sinks import CHANGES, read_changes, write_changes
 from pathlark.operators.windows import hot_items_two_phase, watermarked, win_sliding_features
@@ -142,6 +145,37 @@ def stream_hot_items(rows: DataFrame, size: int = S.HOT_SIZE_SECONDS, slide: int
     return hot_items_two_phase(rows, size, slide)
 
 
+# --- features kept up to date -------------------------------------------------------------------
+def stream_refresh(rows: DataFrame, users_path: str, items_path: str, checkpoint: str,
+                   timing: Timing) -> list[StreamingQuery]:
+    """Keep feature counts current without reading the history again.
+
+    The counts live in the state store, and each micro-batch logs only the keys it changed.
+    Lifetime counts need every key, so there is no watermark and state grows with users × categories
+    and items, not with behaviours.
+    """
+    def log_to(path: str):
+        return lambda batch, batch_id: write_changes(batch, path, batch_id)
+
+    return [
+        batch_sink(user_category_counts(rows), log_to(users_path), f"{checkpoint}/users", timing, "update"),
+        batch_sink(agg_item_behavior_counts(rows), log_to(items_path), f"{checkpoint}/items", timing, "update"),
+    ]
+
+
+def newest_per_key(log: DataFrame, *keys: str) -> DataFrame:
+    """Last logged row of each key; all other columns are numbers."""
+    rest = [c for c in log.columns if c not in keys and c != "batch_id"]
+    return log.groupBy(*keys).agg(*[F.max_by(c, "batch_id").alias(c) for c in rest])
+
+
+def read_refreshed(spark: SparkSession, users_path: str, items_path: str) -> tuple[DataFrame, DataFrame]:
+    """Current user and item features from the logged counts."""
+    users = newest_per_key(spark.read.parquet(users_path), "user_id", "category_id")
+    items = newest_per_key(spark.read.parquet(items_path), "item_id")
+    return user_features_from_counts(users), item_features_from_counts(items)
+
+
 # --- scoring and ranking -----------------------------------------------------------------------
 Tables = Callable[[SparkSession], tuple[DataFrame, DataFrame]]
 
@@ -183,7 +217,8 @@ def merge_topk(scored: DataFrame, path: str, batch_id: int, k: int = S.TOP_K, ti
     however long the job has run; which batch that is follows from the batch number alone.
     """
     spark = scored.sparkSession
-    fresh = topk_per_user(scored, k, time).drop("rank_no")
+    # read twice below; a micro-batch should run its stateful part once
+    fresh = topk_per_user(scored, k, time).drop("rank_no").persist()
     full = max(batch_id - 1, 0) // every * every
     log = _log_or_empty(spark, path).filter((F.col("batch_id") >= full) & (F.col("batch_id") < batch_id))
     kept = current_lists(log).select(*fresh.columns)
@@ -191,7 +226,10 @@ def merge_topk(scored: DataFrame, path: str, batch_id: int, k: int = S.TOP_K, ti
         kept = kept.join(fresh.select("user_id").distinct(), "user_id", "left_semi")
     best = topk_per_user(kept.unionByName(fresh), k, time="create_time")
     rows = best.withColumn("recommend_type", F.lit("realtime")).select(*S.RECOMMENDATIONS.fieldNames())
-    write_changes(rows, path, batch_id)
+    try:
+        write_changes(rows, path, batch_id)
+    finally:
+        fresh.unpersist()
 
 
 def stream_topk(features: DataFrame, tables: Tables, path: str, checkpoint: str, timing: Timing,

@@ -85,3 +85,9 @@ def test_dedupe_keeps_first_and_ignores_order(spark):
     assert rows(C.dedupe_behavior(df), "id", "category_id", "behavior_type") == want
     mixed = df.orderBy(F.rand(random.randint(0, 99))).repartition(3)
     assert rows(C.dedupe_behavior(mixed), "id", "category_id", "behavior_type") == want
+
+
+def test_lines_survive_a_round_trip(spark):
+    df = behaviors(spark, [(1, 2, 3, "pv", 5), (4, 5, 6, "buy", 7)])
+    columns = ("user_id", "item_id", "category_id", "behavior_type", "behavior_time")
+    assert rows(C.clean_valid(C.format_lines(df)), *columns) == rows(df, *columns)

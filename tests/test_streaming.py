@@ -181,3 +181,16 @@ def test_keyed_state_emits_on_its_timer(spark):
     columns = ["user_id", "rank_no", "item_id", "final_score"]
     assert rows(spark.table("timed").distinct(), *columns) == rows(want, *columns)
     assert spark.table("timed").count() >= 12
+
+
+def test_refreshed_features_equal_batch_features(spark, sample):
+    from pathlark.operators.features import item_features, user_features
+
+    users, items = fresh_path(spark, "users"), fresh_path(spark, "items")
+    stream = arrivals(spark, in_two(sample))
+    for q in JB.stream_refresh(stream, users, items, fresh_path(spark, "ck"), JB.Timing()):
+        wait(q)
+    got_users, got_items = JB.read_refreshed(spark, users, items)
+    assert rows(got_users) == rows(user_features(sample))
+    assert rows(got_items) == rows(item_features(sample))
+    assert spark.read.parquet(users).select("batch_id").distinct().count() == 2
