@@ -175,3 +175,11 @@ def gathered(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> Iterator[tupl
 def exchanged(blocks: DataFrame, partitions: int) -> DataFrame:
     """Blocks of a bucket next to each other in one partition."""
     return blocks.repartition(partitions, "bucket").sortWithinPartitions("bucket")
+
+
+def code_points(flat: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The characters of a UTF-8 buffer as numbers, and the row offsets among them."""
+    chars = np.frombuffer(flat.tobytes().decode("utf-8", "replace").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    lead = np.zeros(len(flat) + 1, np.int64)
+    np.cumsum((flat & 0xC0) != 0x80, out=lead[1:])
+    return chars, lead[at]

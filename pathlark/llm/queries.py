@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pathlark.llm.bpe import op9_byte_bpe
+from pathlark.llm.decontaminate import op3_decontamination
+from pathlark.llm.language import op7_language
 from pathlark.llm.wavelet import op5_token_shards
 
-QUERIES = {f.__name__: f for f in (op5_token_shards, op9_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op3_decontamination, op5_token_shards, op7_language, op9_byte_bpe)}
 ORACLE: dict[str, str] = {}
