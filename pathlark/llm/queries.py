@@ -8,10 +8,12 @@ from pathlark.llm.language import op7_language
 from pathlark.llm.neardup import op4_near_duplicates
 from pathlark.llm.quality import ORACLE as QUALITY_SQL
 from pathlark.llm.quality import op6_quality
+from pathlark.llm.secrets import ORACLE as SECRETS_SQL
+from pathlark.llm.secrets import op8_secrets
 from pathlark.llm.substrings import op1_repeated_substrings
 from pathlark.llm.wavelet import op5_token_shards
 
 QUERIES = {f.__name__: f for f in (
-    op1_repeated_substrings, op3_decontamination, op4_near_duplicates, op5_token_shards, op6_quality, op7_language, op9_byte_bpe,
+    op1_repeated_substrings, op3_decontamination, op4_near_duplicates, op5_token_shards, op6_quality, op7_language, op8_secrets, op9_byte_bpe,
 )}
-ORACLE: dict[str, str] = {"op6_quality": QUALITY_SQL}
+ORACLE: dict[str, str] = {"op6_quality": QUALITY_SQL, "op8_secrets": SECRETS_SQL}
