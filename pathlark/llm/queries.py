@@ -6,6 +6,7 @@ from pathlark.llm.bpe import op9_byte_bpe
 from pathlark.llm.decontaminate import op3_decontamination
 from pathlark.llm.language import op7_language
 from pathlark.llm.neardup import op4_near_duplicates
+from pathlark.llm.passages import op10_repeated_passages
 from pathlark.llm.quality import ORACLE as QUALITY_SQL
 from pathlark.llm.quality import op6_quality
 from pathlark.llm.secrets import ORACLE as SECRETS_SQL
@@ -15,5 +16,6 @@ from pathlark.llm.wavelet import op5_token_shards
 
 QUERIES = {f.__name__: f for f in (
     op1_repeated_substrings, op3_decontamination, op4_near_duplicates, op5_token_shards, op6_quality, op7_language, op8_secrets, op9_byte_bpe,
+    op10_repeated_passages,
 )}
 ORACLE: dict[str, str] = {"op6_quality": QUALITY_SQL, "op8_secrets": SECRETS_SQL}
