@@ -5,6 +5,7 @@ from __future__ import annotations
 from pathlark.llm.bpe import op9_byte_bpe
 from pathlark.llm.decontaminate import op3_decontamination
 from pathlark.llm.language import op7_language
+from pathlark.llm.lines import op2_near_lines
 from pathlark.llm.neardup import op4_near_duplicates
 from pathlark.llm.passages import op10_repeated_passages
 from pathlark.llm.quality import ORACLE as QUALITY_SQL
@@ -15,7 +16,7 @@ from pathlark.llm.substrings import op1_repeated_substrings
 from pathlark.llm.wavelet import op5_token_shards
 
 QUERIES = {f.__name__: f for f in (
-    op1_repeated_substrings, op3_decontamination, op4_near_duplicates, op5_token_shards, op6_quality, op7_language, op8_secrets, op9_byte_bpe,
+    op1_repeated_substrings, op2_near_lines, op3_decontamination, op4_near_duplicates, op5_token_shards, op6_quality, op7_language, op8_secrets, op9_byte_bpe,
     op10_repeated_passages,
 )}
 ORACLE: dict[str, str] = {"op6_quality": QUALITY_SQL, "op8_secrets": SECRETS_SQL}
