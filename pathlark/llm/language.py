@@ -131,21 +131,34 @@ def fit(docs: DataFrame, fit_rows: int = FIT_ROWS, bins: int = BINS) -> dict:
     return {"langs": langs, "bins": bins, "scores": np.ascontiguousarray(scores.T, dtype=np.float32), "written": written & (scripts > 0)}
 
 
-def best_path(scores: np.ndarray, penalty: float) -> np.ndarray:
-    """Viterbi: the labels with the largest sum of scores less penalties for changes."""
-    n, k = scores.shape
-    back = np.zeros((n, k), np.int32)
-    now = scores[0].astype(np.float64)
-    stay = np.arange(k)
-    for i in range(1, n):
-        top = int(np.argmax(now))
-        move = now[top] - penalty > now
-        back[i] = np.where(move, top, stay)
-        now = np.where(move, now[top] - penalty, now) + scores[i]
-    out = np.empty(n, np.int32)
-    out[-1] = int(np.argmax(now))
-    for i in range(n - 1, 0, -1):
-        out[i - 1] = back[i][out[i]]
+def best_paths(scores: np.ndarray, opens: np.ndarray, sizes: np.ndarray, penalty: float) -> np.ndarray:
+    """Viterbi: for each document the labels with the largest sum of scores less penalties for changes.
+
+    All documents take a step at a time, longest first, so that those still running stand in front.
+    """
+    k = scores.shape[1]
+    order = np.argsort(-sizes, kind="stable")
+    opens, sizes = opens[order], sizes[order]
+    longest = int(sizes[0])
+    running = np.searchsorted(-sizes, -np.arange(longest), side="left")  # with more than i words
+    back = np.zeros(scores.shape, np.int16)
+    now, stay = scores[opens].astype(np.float64), np.arange(k)
+    for i in range(1, longest):
+        live = running[i]
+        at, here = opens[:live] + i, now[:live]
+        top = here.argmax(axis=1)
+        moved = here[np.arange(live), top][:, None] - penalty
+        move = moved > here
+        back[at] = np.where(move, top[:, None], stay)
+        now[:live] = np.where(move, moved, here) + scores[at]
+    out = np.zeros(len(scores), np.int32)
+    label = now.argmax(axis=1)
+    for i in range(longest - 1, 0, -1):
+        live = running[i]
+        at = opens[:live] + i
+        out[at] = label[:live]
+        label[:live] = back[at, label[:live]]
+    out[opens] = label
     return out
 
 
@@ -170,12 +183,46 @@ def labels(scores: np.ndarray, opens: np.ndarray, penalty: float) -> np.ndarray:
     shift = np.repeat(np.arange(len(opens)) * span, sizes)[:, None]
     low = np.minimum.accumulate(before - shift, axis=0) + shift
     most = np.maximum.reduceat((run - low).max(axis=1), opens)
-    for d in np.flatnonzero(most > penalty / 2):
-        a, b = opens[d], opens[d] + sizes[d]
-        out[a:b] = best_path(scores[a:b], penalty)
+    mixed = np.flatnonzero(most > penalty / 2)
+    if len(mixed):
+        words = np.isin(np.repeat(np.arange(len(opens)), sizes), mixed)
+        own = sizes[mixed]
+        out[words] = best_paths(scores[words], np.cumsum(own) - own, own, penalty)
     return out
 
 
+def predictions(flat: np.ndarray, at: np.ndarray, m: dict, penalty: float) -> tuple[np.ndarray, np.ndarray, list[list[dict]]]:
+    """Language, score and spans of each text of a piece."""
+    langs, n = m["langs"], len(at) - 1
+    words = Words(flat, at, m["bins"])
+    pred, score = np.full(n, "und", dtype=object), np.zeros(n)
+    spans: list[list[dict]] = [[] for _ in range(n)]
+    if not langs or not len(words.starts):
+        return pred, score, spans
+    scores = np.add.reduceat(m["scores"][words.bins], words.opens, axis=0)
+    allowed = m["written"][:, words.scripts].T
+    known = allowed.any(axis=1)
+    worst = scores.min(axis=1, keepdims=True) - 50
+    scores = np.where(allowed, scores, worst)
+    scores[~known] = 0
+    scores -= scores.max(axis=1, keepdims=True)
+    opens = np.flatnonzero(np.r_[True, words.rows[1:] != words.rows[:-1]])
+    label = labels(scores, opens, penalty)
+    own = words.rows[opens]
+    size, letters = np.zeros((n, len(langs))), np.zeros(n)
+    np.add.at(size, (words.rows, label), words.sizes * known)
+    np.add.at(letters, words.rows, words.sizes)
+    top = size.argmax(axis=1)
+    pred[own] = np.asarray(langs, dtype=object)[top[own]]
+    score[own] = size[own, top[own]] / letters[own]
+    cut = np.flatnonzero(np.r_[True, (words.rows[1:] != words.rows[:-1]) | (label[1:] != label[:-1])])
+    last = np.r_[cut[1:] - 1, len(label) - 1]
+    base = words.at[words.rows[cut]]
+    for r, s, e, k in zip(words.rows[cut].tolist(), (words.starts[cut] - base).tolist(), (words.ends[last] - base).tolist(), label[cut].tolist(), strict=True):
+        spans[r].append({"start": s, "end": e, "lang": langs[k]})
+    return pred, score, spans
+
+
 def predict(docs: DataFrame, model: dict, penalty: float = PENALTY) -> DataFrame:
     """``doc_id, lang_pred, score, spans`` of each row; spans hold character start, end and lang.
 
@@ -183,40 +230,11 @@ def predict(docs: DataFrame, model: dict, penalty: float = PENALTY) -> DataFrame
     no learned language is written in score nothing; a text of such words only has the first learned language
     and score 0. Without a learned language all is ``und``. Spans of one language that touch are one.
     """
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
-        langs = m["langs"]
         for part, flat, at in pieces(batches):
-            n = part.num_rows
-            words = Words(flat, at, m["bins"])
-            pred, score = np.full(n, "und", dtype=object), np.zeros(n)
-            spans: list[list[dict]] = [[] for _ in range(n)]
-            if langs and len(words.starts):
-                scores = np.add.reduceat(m["scores"][words.bins], words.opens, axis=0)
-                allowed = m["written"][:, words.scripts].T
-                known = allowed.any(axis=1)
-                worst = scores.min(axis=1, keepdims=True) - 50
-                scores = np.where(allowed, scores, worst)
-                scores[~known] = 0
-                scores -= scores.max(axis=1, keepdims=True)
-                opens = np.flatnonzero(np.r_[True, words.rows[1:] != words.rows[:-1]])
-                label = labels(scores, opens, penalty)
-                own = words.rows[opens]
-                size = np.zeros((n, len(langs)))
-                np.add.at(size, (words.rows, label), words.sizes * known)
-                letters = np.zeros(n)
-                np.add.at(letters, words.rows, words.sizes)
-                top = size.argmax(axis=1)
-                pred[own] = np.asarray(langs, dtype=object)[top[own]]
-                score[own] = size[own, top[own]] / letters[own]
-                cut = np.flatnonzero(np.r_[True, (words.rows[1:] != words.rows[:-1]) | (label[1:] != label[:-1])])
-                last = np.r_[cut[1:] - 1, len(label) - 1]
-                base = words.at[words.rows[cut]]
-                for r, s, e, k in zip(words.rows[cut].tolist(), (words.starts[cut] - base).tolist(), (words.ends[last] - base).tolist(), label[cut].tolist(), strict=True):
-                    spans[r].append({"start": s, "end": e, "lang": langs[k]})
+            pred, score, spans = predictions(flat, at, sent.value, penalty)
             yield pa.RecordBatch.from_arrays([
                 part["doc_id"], pa.array(pred, pa.string()), pa.array(score),
                 pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))),
@@ -225,6 +243,18 @@ def predict(docs: DataFrame, model: dict, penalty: float = PENALTY) -> DataFrame
     return id_and_text(docs).mapInArrow(run, "doc_id long, lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>")
 
 
+def accepted(docs: DataFrame, model: dict, least: float = 0.5, penalty: float = PENALTY) -> DataFrame:
+    """The rows, with all their columns, whose language is known with at least this score."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, flat, at in pieces(batches):
+            pred, score, _ = predictions(flat, at, sent.value, penalty)
+            yield part.filter(pa.array((pred != "und") & (score >= least)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     found = predict(docs, fit(docs))
