@@ -308,7 +308,7 @@ def build() -> dict[str, str]:
       WHEN 'fav' THEN '收藏' WHEN 'buy' THEN '购买' ELSE behavior_type END AS description FROM raw_beh""")
     o["popularity_level"] = with_(scored, f"""SELECT window_start, user_id, item_id, round({rates}, 9) AS score, {level(rates)} AS level FROM scored""")
     o["category_match"] = with_(base(), "SELECT id, CAST(category_id = high_freq_category AS INT) AS category_match FROM beh JOIN uf USING (user_id)")
-    o["clip_pv"] = with_(BEH, "SELECT user_id, category_id, least(count(*), 5) AS clipped FROM beh GROUP BY ALL")
+    o["clip_pv"] = with_(BEH, "SELECT user_id, category_id, least(count(*), 20) AS clipped FROM beh GROUP BY ALL")
     o["clamp_probability"] = with_(base(), "SELECT user_id, greatest(0.0, least(1.0, buy_rate)) AS p FROM uf")
 
     # joins
@@ -477,8 +477,9 @@ def build() -> dict[str, str]:
           -1.0 AS ctr, -1.0 AS cvr, -1 AS recommend_count, {us(AS_OF)} AS create_time FROM area
         UNION ALL SELECT 2, {us(RANGE_START)}, {us(RANGE_END)}, -1.0, round(ctr, 4), round(cvr, 4), recommend_count, {us(AS_OF)} FROM rates""")
     o["sink_rebuild_table"] = with_(BEH, "SELECT count(*) AS expected, count(*) AS loaded, 0 AS failed FROM beh")
-    o["expire_serving"] = with_(BEH, f"""SELECT user_id, item_id, max(create_time) AS updated_at FROM beh GROUP BY user_id, item_id
-      HAVING max(create_time) > {us('2024-01-30 12:00:00')} - CAST(23 AS BIGINT) * 3600 * 1000000""")
+    o["expire_serving"] = with_(BEH, f"""SELECT user_id, item_id, max(create_time) AS updated_at FROM beh
+      WHERE user_id IN (SELECT user_id FROM beh GROUP BY user_id HAVING max(create_time) > {us('2024-01-30 12:00:00')} - CAST(23 AS BIGINT) * 3600 * 1000000)
+      GROUP BY user_id, item_id""")
     o["export_features_csv"] = with_(HALVES + "," + PAST, "SELECT * FROM past")
 
     # windows and streams

@@ -197,7 +197,8 @@ def _(s, d):
     rows = beh(s, d).select(*S.LINE_FIELDS)
     with_header, without = fresh_path(s, "csv"), fresh_path(s, "csv")
     views = F.col("behavior_type") == "pv"
-    rows.filter(views).write.option("header", True).csv(with_header)
+    shuffled = rows.select("item_id", "behavior_time", "user_id", "behavior_type", "category_id")
+    shuffled.filter(views).write.option("header", True).csv(with_header)  # the header gives the order
     rows.filter(~views).write.option("header", False).csv(without)
     return FD.read_headered_or_not(s, with_header).unionByName(FD.read_headered_or_not(s, without))
 
@@ -291,7 +292,7 @@ def _(s, d):
 @query("clip_pv")
 def _(s, d):
     counted = beh(s, d).groupBy("user_id", "category_id").agg(F.count(F.lit(1)).alias("n"))
-    return counted.select("user_id", "category_id", numeric.clip_pv(F.col("n"), 5).alias("clipped"))
+    return counted.select("user_id", "category_id", numeric.clip_pv(F.col("n")).alias("clipped"))
 
 
 @query("clamp_probability")
@@ -815,18 +816,18 @@ def refreshed(s, d):
 
 @query("sink_replace_user_features")
 def _(s, d):
-    return s.read.schema(S.USER_FEATURES).parquet(refreshed(s, d)[0])
+    return K.read_table(s, refreshed(s, d)[0])
 
 
 @query("sink_replace_item_features")
 def _(s, d):
-    return s.read.schema(S.ITEM_FEATURES).parquet(refreshed(s, d)[1])
+    return K.read_table(s, refreshed(s, d)[1])
 
 
 @query("refresh_features")
 def _(s, d):
     users, items = refreshed(s, d)
-    return J.join_training_samples(beh(s, d), s.read.parquet(users), s.read.parquet(items)).select(
+    return J.join_training_samples(beh(s, d), K.read_table(s, users), K.read_table(s, items)).select(
         "id", "buy_rate", "active_score", "high_freq_category", "item_category"
     )
 
@@ -847,7 +848,7 @@ def _(s, d):
 
 @query("expire_serving")
 def _(s, d):
-    """Each pair counts as served at its last behaviour; those of the last 23 hours stay."""
+    """Each pair counts as served at its last behaviour; lists with a row of the last 23 hours stay whole."""
     served = beh(s, d).groupBy("user_id", "item_id").agg(F.max("create_time").alias("updated_at"))
     return K.expire_serving(served, F.lit("2024-01-30 12:00:00").cast("timestamp"))
 
@@ -878,12 +879,33 @@ def _(s, d):
     return windows(s, d)
 
 
+ARRIVALS = 5
+
+
+def event_files(s, d) -> str:
+    """All events as a folder of ``ARRIVALS`` files in order of time, each a micro-batch of its own."""
+    folder = fresh_path(s, "arrivals")
+    events = s.read.parquet(f"{d}/events.parquet")
+    span = events.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    step = (span["high"] - span["low"]) / ARRIVALS
+    for n in range(ARRIVALS):
+        low, high = F.lit(span["low"] + n * step), F.lit(span["low"] + (n + 1) * step)
+        own = events if n == 0 else events.filter(F.col("ts") >= low)
+        own = own if n == ARRIVALS - 1 else own.filter(F.col("ts") < high)
+        own.coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
+    return folder
+
+
+def events_arriving(s, d):
+    return A.event_stream(s, event_files(s, d), files_per_trigger=1)
+
+
 def line_stream(s, d):
-    return A.lines_from_events(A.event_stream(s, d)).select("value")
+    return A.lines_from_events(events_arriving(s, d)).select("value")
 
 
 def row_stream(s, d, delay=DELAY_SECONDS):
-    rows = C.with_event_time(C.valid_rows(A.behaviors_from_events(A.event_stream(s, d))))
+    rows = C.with_event_time(C.valid_rows(A.behaviors_from_events(events_arriving(s, d))))
     return W.watermarked(rows, f"{delay} seconds")
 
 
@@ -922,7 +944,7 @@ def _(s, d):
 
 def kept_current(s, d):
     users, items = fresh_path(s, "user_counts"), fresh_path(s, "item_counts")
-    rows = C.valid_rows(A.behaviors_from_events(A.event_stream(s, d)))
+    rows = C.valid_rows(A.behaviors_from_events(events_arriving(s, d)))
     for q in JB.stream_refresh(rows, users, items, fresh_path(s, "ck"), JB.Timing()):
         wait(q)
     return JB.read_refreshed(s, users, items)
@@ -977,10 +999,12 @@ def _(s, d):
     """Keyed state instead of a merge: scores arrive as a stream, each user's last list counts."""
     s.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     _, u, i = tables(s, d)
-    scored = store(RC.score_features(windows(s, d), u, i), "scored")
-    kind = s.read.parquet(scored).schema
-    path = fresh_path(s, "lists")
-    lists = stateful_topk(s.readStream.schema(kind).parquet(scored), flush_ms=0)
+    rows = s.read.parquet(store(RC.score_features(windows(s, d), u, i), "scored"))
+    scored, path = fresh_path(s, "arrivals"), fresh_path(s, "lists")
+    for n in range(ARRIVALS):  # users' windows come in several batches
+        rows.filter(F.pmod(F.unix_timestamp("window_end"), F.lit(ARRIVALS)) == n).coalesce(1).write.mode("append").parquet(scored)
+    stream = s.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(scored)
+    lists = stateful_topk(stream, flush_ms=0)
 
     def step(batch, batch_id):
         K.write_changes(batch, path, batch_id)

@@ -12,8 +12,12 @@ RANGE_DIGITS = 5  # hex digits: at most 1,048,576 hash ranges, however many rows
 
 
 def seeded_hash(keys: Sequence[str], seed: int) -> Column:
-    """Hex digest of seed and key: uniform, the same on every run, machine and partitioning."""
-    return F.md5(F.concat_ws("|", F.lit(seed), *[F.col(k) for k in keys]))
+    """Hex digest of seed and key: uniform, the same on every run, machine and partitioning.
+
+    A null is told apart from its neighbours: it takes a place of its own in the key.
+    """
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("\x00")) for k in keys]
+    return F.md5(F.concat_ws("|", F.lit(seed), *parts))
 
 
 def mark_smallest(
@@ -21,10 +25,11 @@ def mark_smallest(
 ) -> DataFrame:
     """Flag exactly N rows of those satisfying ``among``: the ones with the smallest seeded hash.
 
-    ``wanted`` is N as an aggregate over all ``rows``; ``keys`` identify a row. The N-th smallest
-    hash is found without sorting the rows: they are counted per hash range (a table of bounded
-    size), and only the one range the N-th falls into, a millionth of the rows, is ranked. The rows
-    themselves then pass a plain comparison: no join and no shuffle.
+    ``wanted`` is N as an aggregate over all ``rows``. The N-th smallest hash is found without sorting
+    the rows: they are counted per hash range (a table of bounded size), and only the one range the N-th
+    falls into, a millionth of the rows, is ranked. The rows themselves then pass a plain comparison.
+    Rows that share the hash of the N-th, as repeated keys do, are numbered on (all columns decide, so the
+    choice does not depend on row order) until N are flagged.
 
     ``rows`` is read once for each of these steps, so hand in a stored table.
     """
@@ -40,14 +45,20 @@ def mark_smallest(
         .withColumn("_left", target - F.coalesce(F.sum("_n").over(before), F.lit(0)))
     )
     cut = ranges.filter((F.col("_left") > 0) & (F.col("_left") <= F.col("_n"))).select("_range", "_left")
-    # at most one range satisfies the condition
-    ranked = hashed.join(F.broadcast(cut.limit(1)), "_range").withColumn(
-        "_rank", F.row_number().over(W.partitionBy("_range").orderBy("_h"))
-    )
-    nth = ranked.filter(F.col("_rank") == F.col("_left")).agg(F.max("_h").alias("h")).scalar()
+    # at most one range satisfies the condition; copies of a key are one row with their number here
+    counted = hashed.join(F.broadcast(cut.limit(1)), "_range").groupBy("_range", "_left", "_h").agg(F.count(F.lit(1)).alias("_n"))
+    up_to = W.partitionBy("_range").orderBy("_h").rowsBetween(W.unboundedPreceding, -1)
+    counted = counted.withColumn("_before", F.coalesce(F.sum("_n").over(up_to), F.lit(0)))
+    nth = counted.filter((F.col("_before") < F.col("_left")) & (F.col("_before") + F.col("_n") >= F.col("_left")))
+    last = nth.agg(F.max("_h").alias("h")).scalar()
     # digests are hex, so all are above "" (nothing wanted) and below "g" (everything wanted)
-    limit = F.coalesce(nth, F.when(target <= 0, F.lit("")).otherwise(F.lit("g")))
-    return rows.withColumn(out, inside & (digest <= limit))
+    limit = F.coalesce(last, F.when(target <= 0, F.lit("")).otherwise(F.lit("g")))
+    # the rows of the N-th key (one, unless keys repeat), numbered in the order of their other columns
+    own = inside & (digest == limit)
+    room = F.coalesce(nth.agg(F.max(F.col("_left") - F.col("_before")).alias("r")).scalar(), F.lit(0))
+    order = W.partitionBy(*keys).orderBy(*(F.col(c) for c in rows.columns))
+    tied = rows.filter(own).withColumn("_k", F.row_number().over(order)).withColumn(out, F.col("_k") <= room).drop("_k")
+    return rows.filter(~own).withColumn(out, inside & (digest < limit)).unionByName(tied)
 
 
 def downsample_negatives(

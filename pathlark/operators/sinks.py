@@ -7,7 +7,7 @@ Readers merge the log per key; ``compact`` folds it into a new folder.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,9 +38,38 @@ def append_jdbc(rows: DataFrame, url: str, dbtable: str, batch: int = 500, **opt
     writer.save()
 
 
-def replace_table(rows: DataFrame, path: str) -> None:
-    """Replace a feature table by a full recompute. The rows must not be read from ``path``."""
-    rows.write.mode("overwrite").parquet(path)
+def replace_table(rows: DataFrame, path: str, keep: int = 2) -> None:
+    """Replace a feature table by a full recompute; readers see the old or the new rows, never a mixture.
+
+    Each replacement is a folder of its own; writing it ends with Spark's success marker, and the newest
+    folder with one is the table. Folders older than the last ``keep`` are removed, so a reader that
+    began before the replacement can finish. The rows may come from the table itself.
+    """
+    spark = rows.sparkSession
+    past = versions(spark, path)
+    rows.write.parquet(f"{path.rstrip('/')}/v={(past[-1] if past else 0) + 1:012d}")
+    for old in past[: len(past) + 1 - keep]:
+        where = _folder(spark, f"{path.rstrip('/')}/v={old:012d}")
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _folder(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the finished replacements, in order. A listing of a few folders."""
+    found = _folder(spark, f"{path.rstrip('/')}/v=*/_SUCCESS")
+    matches = found.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(found)
+    return sorted(int(m.getPath().getParent().getName().removeprefix("v=")) for m in matches or [])
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the newest finished replacement."""
+    past = versions(spark, path)
+    if not past:
+        raise FileNotFoundError(f"nothing has been written to {path} yet")
+    return spark.read.parquet(f"{path.rstrip('/')}/v={past[-1]:012d}")
 
 
 def rebuild_table(rows: DataFrame, path: str) -> DataFrame:
@@ -136,6 +165,28 @@ def user_bucket(buckets: int) -> Column:
 
 def expire_serving(serving: DataFrame, now: Column, life_hours: int = S.SERVING_LIFE_HOURS,
                    spare_hours: int = 1) -> DataFrame:
-    """Drop rows with less than an hour left of their life."""
+    """Drop the lists of users with less than an hour left of their life.
+
+    A user's life starts anew with every write to the list, so the newest row decides for all of it. The
+    newest stamp is one row per task and user before its shuffle.
+    """
     keep = life_hours - spare_hours
-    return serving.filter(F.col("updated_at") > now - F.expr(f"INTERVAL {keep} HOURS"))
+    newest = serving.groupBy("user_id").agg(F.max("updated_at").alias("_newest"))
+    alive = newest.filter(F.col("_newest") > now - F.expr(f"INTERVAL {keep} HOURS"))
+    return serving.join(alive.select("user_id"), "user_id", "left_semi")
+
+
+def merge_serving(serving: DataFrame, updates: DataFrame, as_of: Column, size: int = S.SERVING_SIZE) -> DataFrame:
+    """Served rows after some items got new scores: an item's row is replaced, lists are ranked and cut anew.
+
+    Only the items in ``updates`` get the new stamp; what the stamp means for the list is up to
+    ``expire_serving``. Of several rows for an item in ``updates`` the highest final score counts.
+    """
+    best = updates.groupBy("user_id", "item_id").agg(
+        F.max_by("predict_score", F.struct("final_score", "predict_score")).alias("predict_score"), F.max("final_score").alias("final_score"))
+    best = best.withColumn("updated_at", as_of)
+    columns = ["user_id", "item_id", "predict_score", "final_score", "updated_at"]
+    kept = serving.select(*columns).join(best.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
+    order = Window.partitionBy("user_id").orderBy(F.desc("final_score"), F.asc("item_id"))
+    rows = kept.unionByName(best.select(*columns)).withColumn("serving_rank", F.row_number().over(order))
+    return rows.filter(F.col("serving_rank") <= size)

@@ -5,6 +5,8 @@ Windows are in event time and aligned to the epoch. On a stream give the rows a
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,13 +15,13 @@ from pathlark.functions.labels import cart_or_fav
 
 
 def newest_first(seconds: str, tie: str) -> Column:
-    """Order by epoch seconds, of equals the smaller ``tie`` first, packed into one long.
+    """Order by epoch seconds, of equals the smaller ``tie`` first, as one decimal of full width.
 
-    Valid stamps need 31 bits; the other 32 hold the tie-breaker. A plain long keeps the aggregate
-    in the hash table, where a struct would force Spark to sort every row first.
+    The upper part holds the stamp, the lower 64 bits the tie-breaker, so no id is cut. A decimal keeps
+    the aggregate in the hash table, where a struct would force Spark to sort every row first.
     """
-    low = F.lit(2**32 - 1) - F.pmod(F.col(tie), F.lit(2**32))
-    return F.shiftleft(F.col(seconds).cast("bigint"), 32).bitwiseOR(low)
+    wide = F.col(seconds).cast("decimal(19,0)") * F.lit(Decimal(2**64))
+    return wide + (F.lit(Decimal(2**63 - 1)) - F.col(tie).cast("decimal(19,0)"))
 
 
 def win_sliding_features(
@@ -98,12 +100,3 @@ def hot_items_unsalted(
 def watermarked(rows: DataFrame, delay: str, time: str = "event_time") -> DataFrame:
     """Rows later than ``delay`` behind the newest are dropped and counted in the query progress."""
     return rows.withWatermark(time, delay)
-
-
-def proc_time(rows: DataFrame, column: str = "event_time") -> DataFrame:
-    """Arrival time instead of event time, for dashboards that need no replay."""
-    return rows.withColumn(column, F.current_timestamp())
-
-
-def epoch(column: str) -> Column:
-    return F.unix_timestamp(column)

@@ -112,30 +112,56 @@ def read_csv_user_features(spark: SparkSession, path: str, update_time: Column)
     return coerce_user_features(text.withColumn("_place", place), update_time, "_place")
 
 
+MAX_COLUMNS = 64
+
+
 def read_headered_or_not(
     spark: SparkSession, path: str, columns: Sequence[str] = S.LINE_FIELDS
 ) -> DataFrame:
-    """Behaviour CSV files with or without a header line.
+    """Behaviour CSV files with or without a header line, each file by itself.
 
-    A line naming a user column and not starting with a number is a header, so no file is opened
-    on the driver to find out. ``columns`` is the order of the fields.
+    A line naming a user column and not starting with a number is a header; it gives the order of that
+    file's fields, and no file is opened on the driver to find out. Files without one have ``columns``.
     """
-    return split_headered_or_not(spark.read.text(path), columns)
+    text = spark.read.text(path).withColumn("_file", F.col("_metadata.file_path"))
+    return split_headered_or_not(text, columns, file="_file")
+
+
+def is_header(line: Column) -> Column:
+    return F.lower(line).contains("user") & ~line.rlike(r"^\s*[+-]?[0-9\"]*[0-9]")
 
 
 def split_headered_or_not(
-    text: DataFrame, columns: Sequence[str] = S.LINE_FIELDS, line: str = "value"
+    text: DataFrame, columns: Sequence[str] = S.LINE_FIELDS, line: str = "value", file: str | None = None
 ) -> DataFrame:
+    """Typed rows of such lines; ``file`` names the column that tells files apart (none: all are one).
+
+    A header without a required column fails the job, as nothing could be read from that file; category
+    may be missing. The first header of a file counts, others are skipped like blank lines.
+    """
     value = F.col(line)
-    header = F.lower(value).contains("user") & ~value.rlike(r"^\s*[+-]?[0-9]")
-    body = text.filter(~header & (F.trim(value) != ""))
+    rows = text.select(value.alias("_line"), (F.col(file) if file else F.lit("")).alias("_file")).filter(F.trim("_line") != "")
+    kind = "struct<" + ",".join(f"c{i}:string" for i in range(MAX_COLUMNS)) + ">"
+    cells = F.from_csv("_line", kind, {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"})
+    cells = F.array(*(cells[f"c{i}"] for i in range(MAX_COLUMNS)))
+    headers = rows.filter(is_header(F.col("_line"))).withColumn("_names", F.transform(
+        cells, lambda c: F.when(F.lower(c) == "timestamp", "behavior_time").otherwise(F.coalesce(F.lower(c), F.lit("")))))
+    headers = headers.groupBy("_file").agg(F.min("_names").alias("_names"))  # a row per file
+    body = rows.filter(~is_header(F.col("_line"))).withColumn("_cells", cells).join(headers, "_file", "left")
+    required = [c for c in columns if c != "category_id"]
+    lacking = F.filter(F.array(*map(F.lit, required)), lambda c: ~F.array_contains("_names", c))
+    fails = F.raise_error(F.concat(F.lit("missing required columns: "), F.array_join(lacking, ", ")))
     place = {name: i for i, name in enumerate(columns)}
 
     def part(name: str) -> Column:
-        return F.trim(F.get(F.split(value, ","), F.lit(place.get(name, len(place)))))
+        named = F.get("_cells", F.array_position("_names", name).cast("int") - 1)
+        plain = F.get("_cells", F.lit(place[name])) if name in place else F.lit(None).cast("string")
+        return F.trim(F.when(F.col("_names").isNull(), plain).when(F.size(lacking) > 0, fails.cast("string"))
+                      .when(F.array_contains("_names", name), named))
 
     def number(name: str) -> Column:
-        return part(name).try_cast("bigint")
+        exact = F.when(part(name).rlike(r"^[+-]?[0-9]+$"), part(name).try_cast("bigint"))
+        return F.coalesce(exact, part(name).try_cast("double").try_cast("bigint"))  # 12.0 is 12
 
     return body.select(
         number("user_id").alias("user_id"),

@@ -16,7 +16,7 @@ from pathlark.operators.cleaning import clean_valid, parse_lines, with_event_tim
 from pathlark.operators.features import (
     agg_item_behavior_counts, item_features_from_counts, user_category_counts, user_features_from_counts,
 )
-from pathlark.operators.ranking import topk_per_user
+from pathlark.operators.ranking import best_per_pair, topk_per_user
 from pathlark.operators.sinks import CHANGES, read_changes, write_changes
 from pathlark.operators.windows import hot_items_two_phase, watermarked, win_sliding_features
 from pathlark.plans.recommend import score_features
@@ -197,34 +197,58 @@ def current_lists(log: DataFrame) -> DataFrame:
     return log.join(newest, ["user_id", "batch_id"], "left_semi")
 
 
-def _log_or_empty(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return read_changes(spark, path)
-    except Exception as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        return spark.createDataFrame([], CHANGES)
+STAMPS = "user_id bigint, item_id bigint, create_time timestamp, batch_id bigint"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def _log_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+
+
+def _first_scored(fresh: DataFrame, path: str, batch_id: int, full: int, every: int) -> DataFrame:
+    """When each pair of this batch's users was first scored, also pairs that have left the lists.
+
+    The stamps have a log of their own: a batch adds its pairs, and every ``every``-th one writes one
+    row for each pair so far, so that a batch reads back one full set and the changes since.
+    """
+    spark = fresh.sparkSession
+    log = _log_or_empty(spark, path, STAMPS).filter((F.col("batch_id") >= full) & (F.col("batch_id") < batch_id)).drop("batch_id")
+    own = fresh.select("user_id", "item_id", "create_time")
+
+    def first(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("user_id", "item_id").agg(F.min("create_time").alias("create_time"))
+
+    write_changes(first(log.unionByName(own)) if batch_id % every == 0 else own, path, batch_id)
+    touched = log.join(own.select("user_id").distinct(), "user_id", "left_semi")
+    return first(touched.unionByName(own))
 
 
 def merge_topk(scored: DataFrame, path: str, batch_id: int, k: int = S.TOP_K, time: str = "window_end",
                every: int = SNAPSHOT_EVERY) -> None:
     """Fold one micro-batch of scores into the users' lists and log the changed lists.
 
-    A list only needs its k entries to stay exact: an item's best score never falls, so neither
-    does the k-th best, and whatever was pushed out must beat it with a new score to return. State
-    is therefore k rows per user, and a batch rewrites only users it touched. Every ``every``-th
-    batch writes all lists, so a batch reads back one full set and fewer than ``every`` changes,
-    however long the job has run; which batch that is follows from the batch number alone.
+    Scores need no more than the k entries of a list: an item's best score never falls, so neither
+    does the k-th best, and whatever was pushed out must beat it with a new score to return. When an
+    item that returns was first scored is kept in the log of stamps beside the lists. A batch rewrites
+    only users it touched; every ``every``-th batch writes all lists, so a batch reads back one full
+    set and fewer than ``every`` changes, however long the job has run; which batch that is follows
+    from the batch number alone.
     """
     spark = scored.sparkSession
-    # read twice below; a micro-batch should run its stateful part once
-    fresh = topk_per_user(scored, k, time).drop("rank_no").persist()
+    # read several times below; a micro-batch should run its stateful part once
+    fresh = best_per_pair(scored, time).persist()
     full = max(batch_id - 1, 0) // every * every
-    log = _log_or_empty(spark, path).filter((F.col("batch_id") >= full) & (F.col("batch_id") < batch_id))
+    stamps = _first_scored(fresh, f"{path.rstrip('/')}-first", batch_id, full, every)
+    log = _log_or_empty(spark, path, CHANGES).filter((F.col("batch_id") >= full) & (F.col("batch_id") < batch_id))
     kept = current_lists(log).select(*fresh.columns)
     if batch_id % every:
         kept = kept.join(fresh.select("user_id").distinct(), "user_id", "left_semi")
-    best = topk_per_user(kept.unionByName(fresh), k, time="create_time")
+    best = topk_per_user(kept.unionByName(fresh), k, time="create_time").withColumnRenamed("create_time", "_listed")
+    best = best.join(stamps, ["user_id", "item_id"], "left").withColumn("create_time", F.least("_listed", "create_time"))
     rows = best.withColumn("recommend_type", F.lit("realtime")).select(*S.RECOMMENDATIONS.fieldNames())
     try:
         write_changes(rows, path, batch_id)

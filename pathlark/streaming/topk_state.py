@@ -34,10 +34,13 @@ _DUE = T.StructType([T.StructField("due", T.LongType())])
 
 
 def fold(best: dict[int, tuple], rows, k: int) -> dict[int, tuple]:
-    """Best entry per item, cut to the k highest final scores, ties by item id."""
+    """Best entry per item, cut to the k highest final scores, ties by item id.
+
+    Of equal final scores the higher predict score counts, as in the batch ranking.
+    """
     for item, predict, popular, final in rows:
         old = best.get(item)
-        if old is None or final > old[2]:
+        if old is None or (final, predict, popular) > (old[2], old[0], old[1]):
             best[item] = (predict, popular, final)
     keep = sorted(best, key=lambda i: (-best[i][2], i))[:k]
     return {i: best[i] for i in keep}
@@ -71,6 +74,8 @@ class TopKProcessor(StatefulProcessor):
         before = self._load()
         best = dict(before)
         for part in rows:
+            # one row per item is left for the loop below
+            part = part.sort_values(["final_score", "predict_score", "popularity_score"]).drop_duplicates("item_id", keep="last")
             columns = (part[c] for c in ("item_id", "predict_score", "popularity_score", "final_score"))
             best = fold(best, ((int(i), float(p), Decimal(q), Decimal(f)) for i, p, q, f in zip(*columns)), self.k)
         for item in before.keys() - best.keys():

@@ -86,6 +86,17 @@ def test_downsample_takes_the_smallest_hashes(samples, monkeypatch, digits):
     assert rows(P.downsample_negatives(samples.repartition(13).orderBy(F.rand()))) == want
 
 
+@pytest.mark.parametrize("wanted", [1, 3])
+def test_downsample_repeated_keys(spark, wanted):
+    data = [(0, 0, 1, n) for n in range(wanted)] + [(5, 6, 0, n) for n in range(10)] + [(None, 6, 0, 1), (6, None, 0, 1)]
+    few = spark.createDataFrame(data, "user_id BIGINT, item_id BIGINT, buy_label INT, n INT")
+    got = P.downsample_negatives(few, ratio=1)
+    assert got.filter("buy_label = 0").count() == wanted
+    assert rows(got) == rows(P.downsample_negatives(few.repartition(7).orderBy(F.rand()), ratio=1))
+    digest = P.seeded_hash(["user_id", "item_id"], 1)
+    assert few.filter("user_id is null or item_id is null").select(digest).distinct().count() == 2
+
+
 def test_downsample_edges(samples):
     few = samples.filter("user_id < 30")
     assert P.downsample_negatives(few, ratio=100).count() == 30  # fewer negatives than allowed

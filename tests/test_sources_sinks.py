@@ -47,6 +47,19 @@ def test_header_is_optional(spark, workdir):
     assert rows(got) == [(1, 2, 3, "pv", 10), (4, 5, 0, "buy", 11), (6, 7, 8, "superuser", 12)]
 
 
+def test_header_gives_the_order(spark, workdir):
+    write(f"{workdir}/a.csv", 'item_id,user_id,timestamp,"behavior_type",category_id\n900,1,10,"pv",12.0\n')
+    write(f"{workdir}/b.csv", "user_id,item_id,behavior_type,behavior_time\n7,8,buy,11\n")
+    write(f"{workdir}/c.csv", "4,5,,buy,11\n")
+    assert rows(FD.read_headered_or_not(spark, workdir)) == [(1, 900, 12, "pv", 10), (4, 5, 0, "buy", 11), (7, 8, 0, "buy", 11)]
+
+
+def test_header_without_a_required_column_fails(spark, workdir):
+    write(f"{workdir}/a.csv", "user_id,category_id,behavior_type,behavior_time\n1,2,pv,3\n")
+    with pytest.raises(Exception, match="missing required columns: item_id"):
+        FD.read_headered_or_not(spark, workdir).collect()
+
+
 def test_range_includes_both_ends_and_is_pushed_down(spark, workdir):
     behaviors(spark, [(1, 1, 1, "pv", t) for t in (0, 10, 20, 30)]).write.parquet(f"{workdir}/t")
     got = FD.read_table_range(spark, f"{workdir}/t", "2024-01-01 00:00:10", "2024-01-01 00:00:20")
@@ -114,8 +127,30 @@ def test_serving_is_bucketed_and_expires(spark, workdir):
     back = spark.read.parquet(f"{workdir}/s")
     assert back.filter(F.col("user_bucket") == K.user_bucket(4)).count() == 2
     hour = 3600
-    aged = spark.createDataFrame([(1, at(0)), (2, at(hour)), (3, at(2 * hour))], "user_id INT, updated_at TIMESTAMP")
-    assert rows(K.expire_serving(aged, F.lit(at(24 * hour))), "user_id") == [(3,)]
+    aged = spark.createDataFrame([(1, at(0)), (2, at(hour)), (3, at(2 * hour)), (3, at(0))], "user_id INT, updated_at TIMESTAMP")
+    # a list lives as long as its newest row
+    assert rows(K.expire_serving(aged, F.lit(at(24 * hour))), "user_id") == [(3,), (3,)]
+
+
+def test_serving_lists_take_updates_and_stay_cut(spark):
+    kind = "user_id INT, item_id INT, predict_score DOUBLE, final_score DOUBLE"
+    served = spark.createDataFrame([(1, 10, 0.5, 5.0), (1, 11, 0.4, 4.0), (2, 10, 0.1, 1.0)], kind).withColumn("updated_at", F.lit(at(0)))
+    fresh = spark.createDataFrame([(1, 11, 0.9, 9.0), (1, 12, 0.2, 2.0), (1, 11, 0.3, 3.0)], kind)
+    got = K.merge_serving(served, fresh, F.lit(at(5)), size=2)
+    got = got.withColumn("fresh", F.col("updated_at") == F.lit(at(5)))
+    assert rows(got, "user_id", "serving_rank", "item_id", "final_score", "fresh") == [
+        (1, 1, 11, 9.0, True), (1, 2, 10, 5.0, False), (2, 1, 10, 1.0, False)]
+
+
+def test_a_reader_survives_replacements(spark, workdir):
+    for n in range(4):
+        K.replace_table(spark.range(n + 1), f"{workdir}/t")
+        old = K.read_table(spark, f"{workdir}/t")
+        K.replace_table(old.union(old), f"{workdir}/t")  # from the table itself
+        assert old.count() == n + 1 and K.read_table(spark, f"{workdir}/t").count() == 2 * n + 2
+    assert len(K.versions(spark, f"{workdir}/t")) == 2
+    with pytest.raises(FileNotFoundError):
+        K.read_table(spark, f"{workdir}/none")
 
 
 def test_shared_folder_is_the_named_one(spark):

@@ -126,9 +126,19 @@ def test_merged_lists_equal_batch_ranking(spark):
             everything = everything.unionByName(part)
         if n == 3:
             JB.merge_topk(part, path, n, k=4, every=2)  # the batch runs again
-        want = R.topk_per_user(everything, 4)
-        assert rows(JB.read_lists(spark, path), "user_id", "rank_no", "item_id", "final_score") == rows(
-            want, "user_id", "rank_no", "item_id", "final_score")
+        want = R.topk_per_user(everything, 4, "window_end")
+        assert rows(JB.read_lists(spark, path), "user_id", "rank_no", "item_id", "final_score", "create_time") == rows(
+            want, "user_id", "rank_no", "item_id", "final_score", "create_time")
+
+
+@pytest.mark.parametrize("every", [1, 2, 50])
+def test_an_item_that_returns_keeps_its_first_stamp(spark, every):
+    kind = "user_id BIGINT, item_id BIGINT, predict_score DOUBLE, popularity_score DECIMAL(18,4), final_score DECIMAL(28,12), window_end TIMESTAMP"
+    path = fresh_path(spark, "lists")
+    for n, (item, score) in enumerate([(7, 1), (8, 2), (9, 3), (7, 4)]):
+        JB.merge_topk(spark.createDataFrame([(1, item, 0.5, Dec("1"), Dec(score), at(600 * n))], kind), path, n, k=1, every=every)
+    first = JB.read_lists(spark, path).select("item_id", (F.col("create_time") == F.lit(at(0))).alias("first"))
+    assert rows(first) == [(7, True)]
 
 
 def test_topk_job(spark, sample):
@@ -148,6 +158,7 @@ def test_topk_job(spark, sample):
 def test_fold():
     best = fold({1: (0, 0, 5), 2: (0, 0, 4)}, [(3, 0, 0, 4), (1, 9, 9, 3), (2, 0, 0, 6)], 2)
     assert best == {2: (0, 0, 6), 1: (0, 0, 5)}
+    assert fold({1: (1, 0, 5)}, [(1, 2, 0, 5)], 2) == {1: (2, 0, 5)}  # as the batch ranking does
     assert list(fold({}, [(9, 0, 0, 1), (4, 0, 0, 1), (7, 0, 0, 1)], 2)) == [4, 7]
 
 

@@ -20,6 +20,12 @@ def test_sliding_features(spark):
         (-20, 5, 1, 0), (-10, 4, 3, 1), (0, 4, 3, 1), (10, 9, 3, 1), (20, 9, 1, 0), (30, 9, 1, 0)]
 
 
+@pytest.mark.parametrize("ids", [(5, 2**32 + 5), (2**32 + 5, 5), (2**62, 2**62 + 1)])
+def test_newest_category_with_wide_ids(spark, ids):
+    b = with_event_time(behaviors(spark, [(1, 1, c, "pv", 12) for c in ids]).coalesce(1))
+    assert W.win_sliding_features(b).select("category_id").distinct().collect()[0][0] == min(ids)
+
+
 def test_features_do_not_depend_on_partitioning(spark, sf):
     from checks.queries import beh
 
