@@ -75,6 +75,20 @@ def margin(model: Ensemble, x: dict[str, Column]) -> Column:
     return reduce(lambda a, b: a + b, parts) * F.lit(model.rate) + F.lit(model.intercept)
 
 
+#: Splits up to which the trees are compiled. Java allows 64 KB for a method; a larger ensemble would make
+#: Spark give up compiling the whole stage.
+COMPILED_SPLITS = 400
+
+
+def splits(node: Split | float) -> int:
+    return 1 + splits(node.left) + splits(node.right) if isinstance(node, Split) else 0
+
+
+def uncompiled(value: Column) -> Column:
+    """The same value, evaluated by walking the expression: of a tree only the nodes on a row's path."""
+    return F.get(F.transform(F.array(F.lit(0)), lambda _: value), F.lit(0))
+
+
 def score_tree_ensemble(
     rows: DataFrame,
     model: Ensemble = STARTER,
@@ -85,7 +99,7 @@ def score_tree_ensemble(
     """Add P(buy). Inputs are rounded to float32 first, a missing one counts as 0.
 
     Rounded inputs and the margin are projections of their own, so each is computed once per row
-    and the comparisons work on plain attributes.
+    and the comparisons work on plain attributes. Ensembles too large to compile are walked instead.
     """
     def rounded(name: str) -> Column:
         value = F.coalesce(F.col(name).cast("double"), F.lit(0.0))
@@ -93,6 +107,8 @@ def score_tree_ensemble(
 
     ready = rows.select("*", *[rounded(c).alias(f"_x_{c}") for c in features])
     z = margin(model, {c: F.col(f"_x_{c}") for c in features})
+    if sum(map(splits, model.trees)) > COMPILED_SPLITS:
+        z = uncompiled(z)
     scored = ready.withColumn("_z", z)
     p = F.lit(1.0) / (F.lit(1.0) + F.exp(F.col("_z") * F.lit(-model.link)))
     return scored.select(*rows.columns, clamp_probability(p).alias(out))

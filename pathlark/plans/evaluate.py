@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,10 +13,9 @@ from pathlark.operators.evaluation import (
 )
 from pathlark.operators.features import agg_interactions
 from pathlark.operators.joins import join_exclude_cold_users, skew_join
+from pathlark.plans.recommend import Scorer
 from pathlark.sources.feeds import in_range
 
-Scorer = Callable[[DataFrame], DataFrame]
-
 
 def offline_features(
     test: DataFrame, users: DataFrame, history: DataFrame, keep: tuple[str, ...] = (),

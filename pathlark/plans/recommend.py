@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,21 +16,29 @@ from pathlark.operators.ranking import top_per_user
 from pathlark.operators.windows import win_sliding_features
 
 
+Scorer = Callable[[DataFrame], DataFrame]
+
+
+def predict(rows: DataFrame, model: Ensemble | Scorer) -> DataFrame:
+    """Add P(buy), by trees or by any function that adds it, such as a fitted model's (``training.scorer``)."""
+    return score_tree_ensemble(rows, model) if isinstance(model, Ensemble) else model(rows)
+
+
 def score_features(
-    features: DataFrame, users: DataFrame, items: DataFrame, model: Ensemble = STARTER,
+    features: DataFrame, users: DataFrame, items: DataFrame, model: Ensemble | Scorer = STARTER,
     hot_rows: int | None = None,
 ) -> DataFrame:
     """Enrich window features and add predict, popularity and final score."""
     enriched = join_item_popularity(join_user_features(features, users, hot_rows), items, hot_rows)
-    scored = score_tree_ensemble(enriched, model)
+    scored = predict(enriched, model)
     return scored.withColumn("final_score", final_score(F.col("predict_score"), F.col("popularity_score")))
 
 
 def best_predictions(
-    windows: DataFrame, users: DataFrame, model: Ensemble = STARTER, hot_rows: int | None = None
+    windows: DataFrame, users: DataFrame, model: Ensemble | Scorer = STARTER, hot_rows: int | None = None
 ) -> DataFrame:
     """Highest P(buy) per (user, item) and when the pair was first scored."""
-    scored = score_tree_ensemble(join_user_features(windows, users, hot_rows), model)
+    scored = predict(join_user_features(windows, users, hot_rows), model)
     return scored.groupBy("user_id", "item_id").agg(
         F.max("predict_score").alias("predict_score"), F.min("window_end").alias("create_time")
     )
@@ -38,7 +48,7 @@ def recommend(
     behaviors: DataFrame,
     users: DataFrame,
     items: DataFrame,
-    model: Ensemble = STARTER,
+    model: Ensemble | Scorer = STARTER,
     size: str = S.WINDOW_SIZE,
     slide: str = S.WINDOW_SLIDE,
     k: int = S.TOP_K,

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from pathlark import schemas as S
 from pathlark.functions.trees import Ensemble, ensemble_from_nodes
-from pathlark.operators.evaluation import pr_auc_average_precision
+from pathlark.operators.evaluation import classification_report, pr_auc_average_precision
 from pathlark.operators.features import agg_training_samples, item_features, project_features, user_features
 from pathlark.operators.sampling import class_balance_weight, downsample_negatives, train_test_split, with_folds
 from pathlark.session import stored, use_utc
@@ -96,7 +96,8 @@ def train_logreg(c: float = 1.0, rows: int = 1) -> Pipeline:
     """Standardised inputs with pairwise products. The weights add up to ``rows``, so a strength C
     per row sum is 1/(C·rows) per mean."""
     learner = LogisticRegression(
-        featuresCol="features", labelCol=LABEL, weightCol=WEIGHT, maxIter=1000, regParam=1.0 / (c * max(rows, 1))
+        featuresCol="features", labelCol=LABEL, weightCol=WEIGHT, maxIter=1000, regParam=1.0 / (c * max(rows, 1)),
+        standardization=False,  # the inputs are scaled already, and the penalty is on the weights as they are
     )
     return Pipeline(stages=[
         _assembler(),
@@ -122,6 +123,19 @@ def score_with(model: PipelineModel, rows: DataFrame, out: str = "predict_score"
     return scored.withColumn(out, vector_to_array("probability")[1]).select(*rows.columns, out)
 
 
+def scorer(path: str) -> Callable[[DataFrame], DataFrame]:
+    """A saved champion as a function that adds P(buy): for batch scoring, ranking and streams alike."""
+    model = PipelineModel.load(path)
+    return lambda rows: score_with(model, rows)
+
+
+def held_out(model: PipelineModel, test: DataFrame) -> tuple[float, DataFrame]:
+    """Average precision and classification report on rows no fit has seen."""
+    scored = score_with(model, test)
+    area = pr_auc_average_precision(scored, label=LABEL).first()["pr_auc"]
+    return float(area), classification_report(scored, label=LABEL)
+
+
 class AveragePrecision(Evaluator):
     """Average precision of a probability column, for cross-validation."""
 
@@ -146,6 +160,7 @@ class Candidate:
 
 
 def full_grid(rows: int) -> dict[str, list[tuple[dict, Pipeline]]]:
+    """All options of all families, for a search over ``rows`` rows in total."""
     return {
         "GradientBoosting": [
             ({"trees": t, "depth": d, "rate": r}, train_gbt(t, d, r))
@@ -154,10 +169,15 @@ def full_grid(rows: int) -> dict[str, list[tuple[dict, Pipeline]]]:
         "RandomForest": [
             ({"trees": t, "depth": d}, train_rf(t, d)) for t, d in product(FOREST_TREES, FOREST_DEPTH)
         ],
-        "LogisticRegression": [({"c": c}, train_logreg(c, rows)) for c in LOGREG_C],
+        "LogisticRegression": [({"c": c}, train_logreg(c, fold_rows(rows))) for c in LOGREG_C],
     }
 
 
+def fold_rows(rows: int, folds: int = FOLDS) -> int:
+    """Rows that a fit of the search sees; a strength per row sum depends on them."""
+    return rows * (folds - 1) // folds
+
+
 def grid_search_cv(
     train: DataFrame, name: str, options: Sequence[tuple[dict, Pipeline]], folds: int = FOLDS,
     parallel: int = PARALLEL,
@@ -171,7 +191,10 @@ def grid_search_cv(
     ).fit(train)
     scores = [float(v) for v in search.avgMetrics]
     best = max(range(len(scores)), key=scores.__getitem__)
-    return Candidate(name, scores[best], options[best][0], search.bestModel), scores
+    params, model = options[best][0], search.bestModel
+    if name == "LogisticRegression":  # the last fit sees all rows
+        model = train_logreg(params["c"], train.count()).fit(train)
+    return Candidate(name, scores[best], params, model), scores
 
 
 def rank_models(candidates: Sequence[Candidate]) -> list[Candidate]:

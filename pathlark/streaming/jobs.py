@@ -19,7 +19,7 @@ from pathlark.operators.features import (
 from pathlark.operators.ranking import best_per_pair, topk_per_user
 from pathlark.operators.sinks import CHANGES, read_changes, write_changes
 from pathlark.operators.windows import hot_items_two_phase, watermarked, win_sliding_features
-from pathlark.plans.recommend import score_features
+from pathlark.plans.recommend import Scorer, score_features
 
 CLEAN_METRICS = "clean_metrics"
 SNAPSHOT_EVERY = 50
@@ -181,7 +181,7 @@ Tables = Callable[[SparkSession], tuple[DataFrame, DataFrame]]
 
 
 def stream_score(features: DataFrame, tables: Tables, path: str, checkpoint: str, timing: Timing,
-                 model: Ensemble = STARTER) -> StreamingQuery:
+                 model: Ensemble | Scorer = STARTER) -> StreamingQuery:
     """Score closed windows. ``tables`` gives user and item features anew for each micro-batch, so
     a refresh is seen by the next one."""
     def step(batch: DataFrame, batch_id: int) -> None:
@@ -257,7 +257,7 @@ def merge_topk(scored: DataFrame, path: str, batch_id: int, k: int = S.TOP_K, ti
 
 
 def stream_topk(features: DataFrame, tables: Tables, path: str, checkpoint: str, timing: Timing,
-                model: Ensemble = STARTER, k: int = S.TOP_K) -> StreamingQuery:
+                model: Ensemble | Scorer = STARTER, k: int = S.TOP_K) -> StreamingQuery:
     """Closed windows to ranked lists, one merge per micro-batch."""
     def step(batch: DataFrame, batch_id: int) -> None:
         users, items = tables(batch.sparkSession)

@@ -53,6 +53,21 @@ def test_champion(spark, prepared):
     assert rows(again, "predict_score") == rows(TR.score_with(best.model, prepared.test), "predict_score")
 
 
+def test_champion_scores_windows_and_is_measured(spark, sf, prepared):
+    from checks.queries import tables, windows
+    from pathlark.plans.recommend import recommend, score_features
+
+    path = fresh_path(spark, "champion")
+    TR.train_fallback_tree().fit(prepared.train).write().overwrite().save(path)
+    behaviors, users, items = tables(spark, sf)
+    scored = score_features(windows(spark, sf), users, items, TR.scorer(path))
+    assert scored.count() == windows(spark, sf).count() and "final_score" in scored.columns
+    assert scored.filter(~F.col("predict_score").between(0, 1)).count() == 0
+    assert recommend(behaviors, users, items, TR.scorer(path), size="1 day", slide="8 hours").count() > 0
+    area, report = TR.held_out(TR.train_fallback_tree().fit(prepared.train), prepared.test)
+    assert 0 < area <= 1 and report.count() >= 2
+
+
 def test_grid_is_complete():
     sizes = {name: len(options) for name, options in TR.full_grid(100).items()}
     assert sizes == {"GradientBoosting": 8, "RandomForest": 4, "LogisticRegression": 3}

@@ -134,3 +134,30 @@ def test_metric_lists(spark):
     recs = spark.createDataFrame([(at(0),), (at(9),), (at(10),)], "create_time TIMESTAMP")
     assert D.ctr_cvr_lookup(m.filter("id < 4"), recs, start, end).first()[:3] == (0.0, 0.75, 2)
     assert D.ctr_cvr_lookup(m.limit(0), recs, start, end).first()[:3] == (0.0, 0.0, 2)
+
+
+@pytest.mark.parametrize("trees", [3, 50])
+def test_large_ensembles_leave_the_stage_compiled(spark, trees):
+    """50 trees of depth 5: as many as the search may choose."""
+    def grown(depth, k):
+        feature = ["buy_rate", "active_score", "pv_count_5min", "is_cart_or_fav", "category_match"][(depth + k) % 5]
+        return Split(feature, 0.1 * depth + 0.01 * k, grown(depth - 1, 2 * k), grown(depth - 1, 2 * k + 1)) if depth else float(k % 7) - 3
+
+    model = Ensemble(tuple(grown(5, k + 1) for k in range(trees)), rate=0.1)
+    data = spark.range(200).select(*(
+        (F.pmod(F.xxhash64("id", F.lit(c)), F.lit(100)) / 100).alias(c) for c in ("buy_rate", "active_score", "pv_count_5min", "is_cart_or_fav", "category_match")))
+    got = score_tree_ensemble(data, model)
+
+    def leaf(node, row):
+        while isinstance(node, Split):
+            node = node.left if row[node.feature] <= node.threshold else node.right
+        return node
+
+    import numpy as np
+
+    for r in got.collect():
+        x = {c: float(np.float32(r[c])) for c in data.columns}
+        p = 1 / (1 + np.exp(-0.1 * sum(leaf(t, x) for t in model.trees)))
+        assert r["predict_score"] == pytest.approx(p, abs=1e-6)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("transform(" in plan) == (trees == 50)
