@@ -16,8 +16,8 @@ repeated; ``part`` and ``no`` give their order.
 
 from __future__ import annotations
 
+import re
 import struct
-import zlib
 from collections.abc import Iterator
 from functools import cache
 
@@ -33,10 +33,11 @@ from pathlark.session import fresh_path
 
 TOKENIZER = "word_bpe_49k.json"
 END = 2
-SHARD = 1 << 20
+SHARD = 1 << 18
 #: Words whose ids a worker remembers at most; beyond, it starts anew. Results do not depend on it.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 MAGIC, BLOCK = b"WMX1", 512
+ASCII_PARTS = re.compile(r"[A-Za-z]+|[0-9]|[^\sA-Za-z0-9]+")
 
 
 class Shard:
@@ -154,34 +155,60 @@ def build(ids: np.ndarray, doc_ids: np.ndarray, lengths: np.ndarray) -> bytes:
     return b"".join(out)
 
 
+class _Signs(dict):
+    """How the byte-level pre-tokenizer writes a letter."""
+
+    def __init__(self, whole: Tokenizer):
+        super().__init__()
+        self.whole = whole
+
+    def __missing__(self, letter: str) -> str:
+        self[letter] = self.whole.pre_tokenizer.pre_tokenize_str(letter)[0][0]
+        return self[letter]
+
+
 class _Words(dict):
     """Ids of white-space separated words, by the tokenizers library.
 
-    No token of a tokenizer whose pre-tokens exclude white space crosses it, so a text's ids are those of
-    its words. ``pieces`` must be such a tokenizer; ``words_apart`` checks it.
+    This tokenizer's pre-tokens are runs of letters, single digits and runs of other signs, none with white
+    space, so a text's ids are those of its words, and a plain word's those of its parts. Words with an
+    apostrophe or other characters outside ASCII than letters go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         super().__init__()
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = True
+        self.signs = _Signs(self.whole)
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
+        if len(self) >= REMEMBERED:  # words that come often move on from the older half
+            self.older = dict(self)
             self.clear()
-        # trailing punctuation varies much more than the words before it
-        stem = word.rstrip(".,")
-        if stem != word and stem.isalpha():
-            ids = self[stem] + self._ids(word[len(stem):])
-        elif word.isascii() and word.isalpha() and not word.islower():
-            ids = self[word.lower()]
-        elif word.isascii() and word.isalpha():
-            ids = np.asarray([t.id for t in self.whole.model.tokenize(word)], dtype="<u4").tobytes()
-        else:
-            ids = self._ids(word)
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self._of(word)
         self[word] = ids
         return ids
 
+    def _of(self, word: str) -> bytes:
+        stem = word.rstrip(".,")
+        if stem != word and stem[-1:].isalnum():  # a pre-token ends behind the stem
+            return self[stem] + self[word[len(stem):]]
+        if word.isalpha():
+            if not (word.isascii() and word.islower() or latin(word) and word == word.lower()):
+                word = self.whole.normalizer.normalize_str(word)
+            if word.isalpha():  # one pre-token
+                signs = word if word.isascii() else "".join(map(self.signs.__getitem__, word))
+                return np.asarray([t.id for t in self.whole.model.tokenize(signs)], dtype="<u4").tobytes()
+        elif word.isascii() and "'" not in word:
+            # letters, single digits and other signs are pre-tokens of their own
+            parts = ASCII_PARTS.findall(word.lower())
+            if len(parts) > 1:
+                return b"".join(map(self.__getitem__, parts))
+        return self._ids(word)
+
     def _ids(self, text: str) -> bytes:
         return np.asarray(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
@@ -191,8 +218,18 @@ def words_of(path: str) -> _Words:
     return _Words(path)
 
 
+def latin(text: str) -> bool:
+    """Only characters up to Latin Extended-B: composed already, and each one's lower case is one character."""
+    return text.isascii() or max(text, default="") < "\u0250" and "\u0130" not in text
+
+
 def word_splits(text: str) -> list[str]:
-    """Cut at blanks and line ends only; other white space is left to the tokenizer."""
+    """Cut at blanks and line ends only; other white space is left to the tokenizer.
+
+    Latin text is lower-cased first, as the tokenizer does, so that fewer different words come up.
+    """
+    if latin(text):
+        text = text.lower()
     return text.replace("\n", " ").split(" ")
 
 
@@ -201,7 +238,6 @@ def _to_shards(path: str, end: int, size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = words_of(path)
-        words.setdefault("", b"")
         names = ["part", "no", "shard"]
         ids, docs, lengths, held, no, part = [], [], [], 0, 0, 0
 
@@ -209,8 +245,8 @@ def _to_shards(path: str, end: int, size: int):
             data = build(np.frombuffer(b"".join(ids), dtype="<u4"), np.asarray(docs, np.int64), np.asarray(lengths, np.int64))
             return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([no], pa.int32()), pa.array([data], pa.binary())], names=names)
 
-        for batch in batches:
-            for part, doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for some in (batch.slice(a, 128) for batch in batches for a in range(0, batch.num_rows, 128)):
+            for part, doc, text in zip(*(c.to_pylist() for c in some.columns), strict=True):
                 own = b"".join(map(words.__getitem__, word_splits(text))) + tail
                 if held and held + len(own) // 4 > size:
                     yield flushed()
