@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from pathlark import schemas as S
 from pathlark.functions.labels import category_match
 
-MAX_HOT_KEYS = 10_000  # a list this long is a few hundred kilobytes, whatever the data size
-
 
 def skew_join(
     left: DataFrame,
@@ -24,38 +22,31 @@ def skew_join(
     on: Sequence[str],
     how: str = "inner",
     hot_rows: int | None = None,
-    salts: int = 64,
+    salts: int | None = None,
 ) -> DataFrame:
     """``left`` ⋈ ``right`` where single keys of ``left`` may hold a large share of its rows.
 
-    Keys with at least ``hot_rows`` left rows get their rows spread over ``salts`` tasks and their
-    right rows repeated that often; all other keys join once, as usual. The list of hot keys is the
-    longest ``MAX_HOT_KEYS`` of them, small enough to broadcast; a key that misses the list is
-    joined the ordinary way, so the list is a matter of speed only. The salt is a hash of the row,
-    so a task that is run again sends every row to the same place. ``how`` is inner, left,
-    left_semi or left_anti (a salted right row may not be emitted on its own).
+    Keys with at least ``hot_rows`` left rows get their rows spread over as many tasks as hold about
+    ``hot_rows`` each (``salts`` fixes that number instead) and their right rows repeated that often; all
+    other keys join once, as usual. There are at most rows / ``hot_rows`` such keys; whether their list is
+    broadcast is decided by its measured size. The salt is a hash of the row, so a task that is run again
+    sends every row to the same place. ``how`` is inner, left, left_semi or left_anti (a salted right row
+    may not be emitted on its own).
     """
     on = list(on)
     if how not in {"inner", "left", "left_semi", "left_anti"}:
         raise ValueError(f"cannot salt a {how} join")
     if not hot_rows:
         return left.join(right, on, how)
+    wanted = F.lit(salts) if salts else F.ceil(F.col("_n") / hot_rows).cast("int")
     hot = (
         left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") >= hot_rows)
-        .orderBy(F.desc("_n"), *on).limit(MAX_HOT_KEYS)
-        .select(*on, F.lit(True).alias("_hot"))
-    )
-    spread = F.when(F.col("_hot"), F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
-    salted_left = (
-        left.join(F.broadcast(hot), on, "left")
-        .withColumn("_salt", F.coalesce(spread, F.lit(0))).drop("_hot")
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = (
-        right.join(F.broadcast(hot), on, "left")
-        .withColumn("_salt", F.explode(copies)).drop("_hot")
+        .filter(F.col("_n") >= hot_rows).select(*on, wanted.alias("_salts"))
     )
+    salted_left = left.join(hot, on, "left").withColumn(
+        "_salt", F.coalesce(F.pmod(F.xxhash64(*left.columns), F.col("_salts")).cast("int"), F.lit(0))).drop("_salts")
+    salted_right = right.join(hot, on, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts") - 1, F.lit(0))))).drop("_salts")
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 

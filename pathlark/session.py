@@ -75,12 +75,28 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/pathlark/{name}-{uuid.uuid4().hex}"
 
 
+_WRITTEN: list[str] = []
+
+
 def stored(rows: DataFrame, name: str, session: SparkSession | None = None) -> DataFrame:
     """Write to the shared folder and read back, in ``session`` if one is given.
 
     For a result that several later steps read: it is computed once, its lineage ends here, and a
-    lost executor costs a re-read instead of a recomputation.
+    lost executor costs a re-read instead of a recomputation. ``clear_stored`` removes such tables.
     """
     path = fresh_path(rows.sparkSession, name)
+    _WRITTEN.append(path)
     rows.write.parquet(path)
     return (session or rows.sparkSession).read.schema(rows.schema).parquet(path)
+
+
+def clear_stored(spark: SparkSession) -> int:
+    """Remove all tables ``stored`` has written in this process; call it when their readers are done.
+
+    Plans are lazy, so only the job knows when that is. Returns how many were removed.
+    """
+    n = 0
+    while _WRITTEN:
+        where = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += bool(where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True))
+    return n

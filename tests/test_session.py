@@ -28,3 +28,14 @@ def test_no_local_folder_on_a_cluster():
 def test_local_folder_is_made_once():
     one = session.shared_dir(Fake(spark_master="local[2]"))
     assert one.startswith("/tmp/run-") and session.shared_dir(Fake(spark_master="local[2]")) == one
+
+
+def test_stored_tables_are_removed(spark):
+    from pathlark.operators.sinks import _folder
+    from pathlark.session import clear_stored, stored
+
+    rows = stored(spark.range(3), "some")
+    path = rows.inputFiles()[0].rsplit("/", 1)[0]
+    assert rows.count() == 3 and clear_stored(spark) >= 1
+    where = _folder(spark, path)
+    assert not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
