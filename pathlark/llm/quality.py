@@ -112,17 +112,22 @@ def class_distance(classes: Column, reference: list[float]) -> Column:
     return F.when(total > 0, F.sqrt(F.greatest(parts, F.lit(0.0))))
 
 
-def word_distance(common: Column, reference: dict[str, float]) -> tuple[Column, Column]:
-    """Distance over the words of one list, and how many of them the document has.
+def with_word_distances(rows: DataFrame, known: dict[str, tuple[list[float], dict[str, float]]]) -> tuple[DataFrame, list[tuple[Column, Column]]]:
+    """Per reference the distance over its list's words, and how many of them the document has.
 
-    A word that the document lacks adds half its share of the reference.
+    A word that the document lacks adds half its share of the reference. Words and totals are columns of
+    their own, so that they are worked out once for a document and not once for each of its words.
     """
-    shares = F.create_map(*(F.lit(x) for pair in sorted(reference.items()) for x in pair))
-    own = F.filter(common, lambda c: c["word"].isin(list(reference)))
-    total = F.aggregate(own, F.lit(0.0), lambda n, c: n + c["n"])
-    parts = F.aggregate(own, F.lit(0.5), lambda s, c: s + _half(c["n"] / total, F.element_at(shares, c["word"]))
-                        + _half(F.element_at(shares, c["word"]), c["n"] / total) - F.element_at(shares, c["word"]) / 2)
-    return F.sqrt(F.greatest(parts, F.lit(0.0))), total
+    lists = [(f"_own_{k}", f"_total_{k}", words) for k, (_, words) in known.items() if words]
+    rows = rows.select("*", *(F.filter("common", lambda c: c["word"].isin(list(w))).alias(own) for own, _, w in lists))
+    rows = rows.select("*", *(F.aggregate(own, F.lit(0.0), lambda n, c: n + c["n"]).alias(total) for own, total, _ in lists))
+    out = []
+    for own, total, words in lists:
+        shares = F.create_map(*(F.lit(x) for pair in sorted(words.items()) for x in pair))
+        pairs = F.transform(own, lambda c: F.struct((c["n"] / F.col(total)).alias("p"), F.element_at(shares, c["word"]).alias("q")))
+        parts = F.aggregate(pairs, F.lit(0.5), lambda s, c: s + _half(c["p"], c["q"]) + _half(c["q"], c["p"]) - c["q"] / 2)
+        out.append((F.sqrt(F.greatest(parts, F.lit(0.0))), F.col(total)))
+    return rows, out
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -135,11 +140,7 @@ def judge(docs: DataFrame) -> DataFrame:
     known = references(rows)
     nothing = F.lit(None).cast("double")
     by_class = [class_distance(F.col("classes"), c) for c, _ in known.values()]
-    by_word = []
-    for _, words in known.values():
-        if words:
-            away, total = word_distance(F.col("common"), words)
-            by_word.append((away, total))
+    rows, by_word = with_word_distances(rows, known)
     rows = rows.withColumn("class_distance", F.least(*by_class, F.lit(2.0)) if by_class else nothing)
     # of the languages whose words the document has most of
     enough = F.greatest(*(t for _, t in by_word), F.lit(0.0)) if by_word else F.lit(0.0)
