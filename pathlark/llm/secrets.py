@@ -138,8 +138,8 @@ def condition(query: Query, bits: Column, number: dict[str, int]) -> Column:
 
 def write_postings(docs: DataFrame, grams: list[str], out: str) -> None:
     """A row for each asked-for trigram of each text, in a folder per trigram's number."""
-    small = F.lower("text")
-    has = F.array(*(F.when(F.contains(small, F.lit(g)), F.lit(i)) for i, g in enumerate(grams)))
+    has = F.array(*(F.when(F.contains(F.col("small"), F.lit(g)), F.lit(i)) for i, g in enumerate(grams)))
+    docs = docs.select("doc_id", F.lower("text").alias("small"))  # a column, so that it is made once
     docs.select("doc_id", F.explode(F.array_compact(has)).alias("gram")).write.parquet(out)
 
 
@@ -202,10 +202,14 @@ def written(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _is(rank: int):
+    return lambda s: s["rank"] == rank
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = scan(read_table(spark, sf_dir, "documents"))
     base = F.filter("found", lambda s: s["rank"] < len(BASE))
-    counts = [F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE]
+    counts = [F.size(F.filter("found", _is(i))).cast("long").alias(f"n_{k}") for i, k in enumerate(BASE)]
     return rows.select("doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(F.col("found")).alias("spans"))
 
 

@@ -50,13 +50,17 @@ def test_same_as_plain_scans(spark):
     assert sum(len(r.found) for r in rows if r.doc_id is None) == sum(map(len, got.values()))
 
 
-def test_query_columns(spark, sf):
-    rows = secrets.op8_secrets(spark, sf).collect()
-    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+def test_query_columns(spark, workdir):
+    frame(spark, TEXTS).write.parquet(f"{workdir}/documents.parquet")
+    rows = secrets.op8_secrets(spark, workdir).collect()
+    texts = {i: t or "" for i, t in enumerate(TEXTS)}
     for r in rows:
         base = ",".join(f"{k}:{s}:{e}" for s, rank, k, e in brute(texts[r.doc_id]) if rank < 3)
         assert r.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
-    assert len(rows) == len(texts)
+        kinds = [k for _, _, k, _ in brute(texts[r.doc_id])]
+        assert [r.n_assign, r.n_access, r.n_hex] == [kinds.count(k) for k in ("assign", "access", "hex")]
+        assert r.spans == ",".join(f"{k}:{s}:{e}" for s, _, k, e in brute(texts[r.doc_id]))
+    assert len(rows) == len(texts) and sum(r.n_assign for r in rows) > 700
 
 
 def test_table_same_as_sql(spark, sf):
@@ -66,6 +70,15 @@ def test_table_same_as_sql(spark, sf):
     assert rows_of(rows.columns, rows.collect()) == rows_of(want.columns, want.fetchall())
 
 
+def test_made_up_rows_same_as_sql(spark, workdir):
+    docs = frame(spark, [t for t in TEXTS if t is None or "\x00" not in t])
+    docs.write.parquet(f"{workdir}/documents.parquet")
+    c = duckdb.connect()
+    c.sql(f"CREATE VIEW documents AS SELECT * FROM '{workdir}/documents.parquet/*.parquet'")
+    want, rows = c.sql(secrets.ORACLE), secrets.op8_secrets(spark, workdir)
+    assert rows_of(rows.columns, rows.collect()) == rows_of(want.columns, want.fetchall())
+
+
 @pytest.mark.parametrize("rule,text,wanted", [
     ("AKIA[A-Z0-9]+", "akia", True), ("AKIA[A-Z0-9]+", "aki kia", True), ("AKIA", "aki", False), ("[0-9a-f]{24,}", "", True),
     ("(ab|cd)ef", "abe bef", True), ("(ab|cd)ef", "abe def", False), ("x?abc", "abc", True), ("(abc)+d*", "abc", True), ("(abc)*", "", True), ("[Pp][Aa]s", "pas", True),
