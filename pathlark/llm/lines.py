@@ -31,7 +31,7 @@ from pathlark.session import stored
 
 EDITS = 2
 MIN_CHARS = 30
-HELD = 1 << 19
+HELD = 1 << 18
 #: Comparisons of sketches that a key gets at once; beyond, its lines are linked first. Decides the way only.
 DENSE = 1 << 22
 #: Characters compared at once when pairs are verified.
