@@ -18,7 +18,7 @@ BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 U64 = np.uint64
 #: Text handled at once inside a task, in bytes; a longer document is a piece of its own.
-PIECE = 1 << 19
+PIECE = 1 << 18
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
