@@ -179,6 +179,9 @@ class _Words(dict):
         super().__init__()
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = True
+        #: As the file has it: added tokens in a text become their ids.
+        self.default = Tokenizer.from_file(path)
+        self.added = [t.content for t in self.default.get_added_tokens_decoder().values()]
         self.signs = _Signs(self.whole)
         self.older: dict[str, bytes] = {}
 
@@ -209,6 +212,9 @@ class _Words(dict):
                 return b"".join(map(self.__getitem__, parts))
         return self._ids(word)
 
+    def with_added(self, text: str) -> bytes:
+        return np.asarray(self.default.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
     def _ids(self, text: str) -> bytes:
         return np.asarray(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
@@ -233,7 +239,7 @@ def word_splits(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
-def _to_shards(path: str, end: int, size: int):
+def _to_shards(path: str, end: int, size: int, added: bool):
     tail = np.asarray([end], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,7 +253,10 @@ def _to_shards(path: str, end: int, size: int):
 
         for some in (batch.slice(a, 128) for batch in batches for a in range(0, batch.num_rows, 128)):
             for part, doc, text in zip(*(c.to_pylist() for c in some.columns), strict=True):
-                own = b"".join(map(words.__getitem__, word_splits(text))) + tail
+                if added and any(t in text for t in words.added):
+                    own = words.with_added(text) + tail
+                else:
+                    own = b"".join(map(words.__getitem__, word_splits(text))) + tail
                 if held and held + len(own) // 4 > size:
                     yield flushed()
                     ids, docs, lengths, held, no = [], [], [], 0, no + 1
@@ -261,9 +270,12 @@ def _to_shards(path: str, end: int, size: int):
     return run
 
 
-def write_shards(docs: DataFrame, path: str, out: str, end: int = END, size: int = SHARD) -> None:
+def write_shards(docs: DataFrame, path: str, out: str, end: int = END, size: int = SHARD, added: bool = False) -> None:
     """Tokenise all documents with ``path`` and write shards to ``out`` in ascending doc_id.
 
+    With ``added``, added tokens that a text holds (``<|endoftext|>``) become their ids, as by the library's default;
+    without, they are text like any other.
+
     Null and empty texts hold the end id alone. Rows with equal doc_id stay rows of their own, in the order of
     their texts; rows without a doc_id are left out, since the format numbers documents. An empty table
     gives an empty table of shards.
@@ -271,7 +283,7 @@ def write_shards(docs: DataFrame, path: str, out: str, end: int = END, size: int
     spark = docs.sparkSession
     rows = id_and_text(docs).filter("doc_id is not null").repartitionByRange(partitions_of(spark), "doc_id")
     rows = rows.sortWithinPartitions("doc_id", "text").select(F.spark_partition_id().alias("part"), "doc_id", "text")
-    rows.mapInArrow(_to_shards(path, end, size), "part int, no int, shard binary").write.parquet(out)
+    rows.mapInArrow(_to_shards(path, end, size, added), "part int, no int, shard binary").write.parquet(out)
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,5 +327,5 @@ def token_index(spark: SparkSession, out: str) -> DataFrame:
 
 def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fresh_path(spark, "shards")
-    write_shards(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), out)
+    write_shards(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), out, added=True)
     return token_index(spark, out)

@@ -91,3 +91,15 @@ def test_digest_columns(spark, tik):
     ids = np.asarray(tik.encode_ordinary("Hello there"), "<u4")
     assert (row.n_tokens, row.ids_sha256) == (len(ids), hashlib.sha256(ids.tobytes()).hexdigest())
     assert row.decoded_sha256 == hashlib.sha256(b"Hello there").hexdigest()
+
+
+def test_query_equals_library_with_its_defaults(spark, workdir):
+    texts = [*TEXTS, "end of page <|endoftext|> next page", "Σας<|startoftext|>A <|ENDOFTEXT|> b", "<|endoftext|>", "a <|endoftext| > b"]
+    frame(spark, texts).select("doc_id", "text").write.parquet(f"{workdir}/documents.parquet")
+    got = {r.doc_id: r for r in wavelet.op5_token_shards(spark, workdir).collect()}
+    whole, at = Tokenizer.from_file(public_tokenizers.path(wavelet.TOKENIZER)), 0
+    for i, t in enumerate(texts):
+        ids = [*whole.encode(t or "", add_special_tokens=False).ids, wavelet.END]
+        assert (got[i].start, got[i].n_tokens) == (at, len(ids)), i
+        assert got[i].ids_crc32 == zlib.crc32(np.asarray(ids, "<u4").tobytes())
+        at += len(ids)
