@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks.queries import (
-    AS_OF, DELAY_SECONDS, ONE_USER, ORDER_SIZE, ORDER_SLIDE, RANGE_END, RANGE_START, REC_SIZE, REC_SLIDE, SPLIT_AT,
+    AS_OF, DELAY_SECONDS, ONE_USER, ORDER_SIZE, ORDER_SLIDE, RANGE_END, RANGE_START, REC_BOUND_DAYS, REC_SIZE, REC_SLIDE, SPLIT_AT,
 )
 from pathlark.functions.trees import STARTER, Split
 
@@ -510,6 +510,14 @@ def build() -> dict[str, str]:
     o["stateful_topk"] = with_(scored + "," + topk(10), f"SELECT {REC_COLS.replace(', create_time', '')} FROM recs")
     o["late_data"] = with_(
         HALVES + "," + win(REC_SIZE, REC_SLIDE, "win", "test"), f"SELECT * FROM win WHERE {CLOSED}")
+    o["late_data_reported"] = with_(
+        HALVES + """,
+once AS (SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (PARTITION BY user_id, item_id, behavior_type, behavior_time ORDER BY id) AS k
+  FROM test) WHERE k = 1),""" + win(REC_SIZE, REC_SLIDE, "win", "once"),
+        f"SELECT *, (SELECT count(*) FROM history) AS late_rows FROM win WHERE {CLOSED}")
+    o["stream_ctr_cvr_after_rec"] = with_(recs(), "").rstrip() + ctr(
+        later=f"AND b.create_time > r.create_time AND b.create_time <= r.create_time + {REC_BOUND_DAYS * 86400} * CAST(1000000 AS BIGINT)")
+    o["stream_land_once"] = with_(BEH, f"SELECT DISTINCT {TYPED} FROM beh")
     return o
 
 

@@ -26,7 +26,10 @@ from pathlark.plans import training as TR
 from pathlark.session import ROCKSDB, fresh_path, stored, use_utc
 from pathlark.sources import adapters as A
 from pathlark.sources import feeds as FD
+from pathlark.streaming import intervals as IV
 from pathlark.streaming import jobs as JB
+from pathlark.streaming import lateness as LT
+from pathlark.streaming import replays as RP
 from pathlark.streaming.topk_state import stateful_topk
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -889,24 +892,30 @@ def _(s, d):
 
 
 ARRIVALS = 5
+#: Rows of a file of an arrival, about; larger tables arrive in more files.
+FILE_ROWS = 10_000
 
 
-def event_files(s, d) -> str:
-    """All events as a folder of ``ARRIVALS`` files in order of time, each a micro-batch of its own."""
-    folder = fresh_path(s, "arrivals")
-    events = s.read.parquet(f"{d}/events.parquet")
-    span = events.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+def in_arrivals(s, d, rows: DataFrame, path: str, time: str) -> int:
+    """Rows as files in order of time, ``ARRIVALS`` times a number of files, which it returns.
+
+    The times are cut where a fifth of the span of the events ends, for every table alike.
+    """
+    span = s.read.parquet(f"{d}/events.parquet").agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
     step = (span["high"] - span["low"]) / ARRIVALS
+    files = max(1, rows.count() // (ARRIVALS * FILE_ROWS))
     for n in range(ARRIVALS):
         low, high = F.lit(span["low"] + n * step), F.lit(span["low"] + (n + 1) * step)
-        own = events if n == 0 else events.filter(F.col("ts") >= low)
-        own = own if n == ARRIVALS - 1 else own.filter(F.col("ts") < high)
-        own.coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
-    return folder
+        own = rows if n == 0 else rows.filter(F.col(time) >= low)
+        own = own if n == ARRIVALS - 1 else own.filter(F.col(time) < high)
+        own.repartition(files).write.mode("append").parquet(path)
+    return files
 
 
 def events_arriving(s, d):
-    return A.event_stream(s, event_files(s, d), files_per_trigger=1)
+    folder = fresh_path(s, "arrivals")
+    files = in_arrivals(s, d, s.read.parquet(f"{d}/events.parquet"), f"{folder}/events.parquet", "ts")
+    return A.event_stream(s, folder, files_per_trigger=files)
 
 
 def line_stream(s, d):
@@ -1010,9 +1019,11 @@ def _(s, d):
     _, u, i = tables(s, d)
     rows = s.read.parquet(store(RC.score_features(windows(s, d), u, i), "scored"))
     scored, path = fresh_path(s, "arrivals"), fresh_path(s, "lists")
+    files = max(1, rows.count() // (ARRIVALS * FILE_ROWS))
     for n in range(ARRIVALS):  # users' windows come in several batches
-        rows.filter(F.pmod(F.unix_timestamp("window_end"), F.lit(ARRIVALS)) == n).coalesce(1).write.mode("append").parquet(scored)
-    stream = s.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(scored)
+        own = rows.filter(F.pmod(F.unix_timestamp("window_end"), F.lit(ARRIVALS)) == n)
+        own.repartition(files).write.mode("append").parquet(scored)
+    stream = s.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(scored)
     lists = stateful_topk(stream, flush_ms=0)
 
     def step(batch, batch_id):
@@ -1036,6 +1047,57 @@ def _(s, d):
     return s.read.schema(W.win_sliding_features(b, size, slide).schema).parquet(path)
 
 
+@query("late_data_reported")
+def _(s, d):
+    """As ``late_data``, with repeats dropped first; each row says how many rows were dropped as late."""
+    b = C.with_event_time(beh(s, d)).drop("create_time")
+    cut = F.lit(SPLIT_AT).cast("timestamp")
+    folder, path, ck, reported = (fresh_path(s, x) for x in ("arrivals", "features", "ck", "report"))
+    size, slide = f"{REC_SIZE} seconds", f"{REC_SLIDE} seconds"
+    for part in (b.filter(F.col("event_time") >= cut), b.filter(F.col("event_time") < cut)):
+        part.write.mode("append").parquet(folder)
+        rows = JB.dedupe_stream(W.watermarked(s.readStream.schema(b.schema).parquet(folder), f"{DELAY_SECONDS} seconds"))
+        q = JB.file_sink(JB.stream_features(rows, size, slide), path, ck, JB.Timing())
+        wait(q)
+        LT.OperatorReport().take(q).flush(s, reported)
+    dropped = LT.late_rows(LT.read_report(s, reported)).agg(F.sum("late_rows")).first()[0]
+    kept = s.read.schema(W.win_sliding_features(b, size, slide).schema).parquet(path)
+    return kept.withColumn("late_rows", F.lit(dropped))
+
+
+REC_BOUND_DAYS = 3
+
+
+@query("stream_ctr_cvr_after_rec")
+def _(s, d):
+    """Recommendations and behaviours as two streams, five arrivals each, joined within three days."""
+    path, folder, shown = fresh_path(s, "rates"), fresh_path(s, "arrivals"), fresh_path(s, "recs")
+    made = s.read.parquet(store(recs(s, d).select("user_id", "item_id", "create_time"), "recs"))
+    done = s.read.parquet(store(beh(s, d).select("user_id", "item_id", "behavior_type", "create_time"), "behaviors"))
+    a, b = in_arrivals(s, d, made, shown, "create_time"), in_arrivals(s, d, done, folder, "create_time")
+    left = s.readStream.schema(made.schema).option("maxFilesPerTrigger", a).parquet(shown)
+    right = s.readStream.schema(done.schema).option("maxFilesPerTrigger", b).parquet(folder)
+    for q in IV.stream_ctr_cvr(left, right, path, fresh_path(s, "ck"), JB.Timing(), f"{REC_BOUND_DAYS} days", f"{DELAY_SECONDS} seconds"):
+        wait(q)
+    return IV.read_ctr_cvr(s, path)
+
+
+@query("stream_land_once")
+def _(s, d):
+    """Five arrivals, then the first and the third one again, far behind any watermark: no row comes twice."""
+    folder, path = fresh_path(s, "arrivals"), fresh_path(s, "user_behavior")
+    rows = s.read.parquet(store(C.valid_rows(beh(s, d)).select(*S.LINE_FIELDS, "create_time"), "behaviors"))
+    files = in_arrivals(s, d, rows, folder, "create_time")
+    span = rows.agg(F.min("create_time").alias("low"), F.max("create_time").alias("high")).first()
+    step = (span["high"] - span["low"]) / ARRIVALS
+    for n in (0, 2):
+        low, high = F.lit(span["low"] + n * step), F.lit(span["low"] + (n + 1) * step)
+        rows.filter(F.col("create_time").between(low, high)).repartition(files).write.mode("append").parquet(folder)
+    stream = s.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
+    wait(RP.stream_land_once(stream, path, fresh_path(s, "ck"), JB.Timing(), per_day=max(1, rows.count() // 30)))
+    return RP.read_landed(s, path)
+
+
 @query("stream_console")
 def _(s, d):
     """The console prints the top of each batch; the same stream into a folder can be checked."""

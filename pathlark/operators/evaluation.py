@@ -157,7 +157,7 @@ def ctr_cvr_after_rec(recommendations: DataFrame, behaviors: DataFrame) -> DataF
         F.count_if("viewed").alias("viewed_count"),
         F.count_if("bought").alias("bought_count"),
     )
-    return _rates(counts)
+    return rates(counts)
 
 
 def ctr_cvr_naive(recommendations: DataFrame, behaviors: DataFrame) -> DataFrame:
@@ -171,10 +171,10 @@ def ctr_cvr_naive(recommendations: DataFrame, behaviors: DataFrame) -> DataFrame
         F.count_if(F.col("k") == "pv").alias("viewed_count"),
         F.count_if(F.col("k") == "buy").alias("bought_count"),
     )
-    return _rates(counts)
+    return rates(counts)
 
 
-def _rates(counts: DataFrame) -> DataFrame:
+def rates(counts: DataFrame) -> DataFrame:
     return counts.select(
         "*",
         safe_ratio(F.col("viewed_count"), F.col("recommend_count")).alias("ctr"),
