@@ -5,6 +5,9 @@ chunks are pre-tokenised in parallel, and where the pre-token boundaries of two
 in the overlap, the text is cut: the pattern reads forwards only, so from a shared boundary on both
 see the same pre-tokens. The pieces between the cuts are encoded in parallel and joined per document.
 
+Encoding and decoding of a text are one pass in one Python worker: ``encode`` with ``back`` decodes the ids of
+each piece where they are made, and bytes are joined like ids.
+
 Cuts are made only behind a character that is no white space, since the pattern looks one character
 ahead behind white space only. If two neighbours share no boundary in their overlap (a pre-token longer
 than that), the document is encoded in one piece.
@@ -90,25 +93,36 @@ def _bounded(pattern: str, overlap: int):
     return run
 
 
-def _encoded(path: str, pattern: str):
+def decoded(ids: list[bytes], path: str, pattern: str) -> list[bytes]:
+    bpe = encoding(path, pattern)
+    return [bpe.decode_bytes(np.frombuffer(x, dtype="<u4").tolist()) for x in ids]
+
+
+def _encoded(path: str, pattern: str, back: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 some = batch.slice(a, 256)
-                ids = pa.array(encoded(some["text"].to_pylist(), path, pattern), pa.binary())
+                ids = encoded(some["text"].to_pylist(), path, pattern)
+                made = {"ids": ids} | ({"bytes": decoded(ids, path, pattern)} if back else {})
                 names = [x for x in some.schema.names if x != "text"]
-                yield pa.RecordBatch.from_arrays([*(some[x] for x in names), ids], names=[*names, "ids"])
+                yield pa.RecordBatch.from_arrays(
+                    [*(some[x] for x in names), *(pa.array(x, pa.binary()) for x in made.values())], names=[*names, *made])
     return run
 
 
-def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """``doc_id`` and ``ids`` (little-endian unsigned 32-bit integers) of each row of documents.
+def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, chunk: int = CHUNK, overlap: int = OVERLAP,
+           back: bool = False) -> DataFrame:
+    """``doc_id`` and ``ids`` (little-endian unsigned 32-bit integers) of each row of documents; with ``back`` also
+    ``bytes``, what the ids decode to.
 
     Null and empty texts have no ids. Rows with equal or null ids stay rows of their own. Other columns
     are not read. Each row of the input gives one row.
     """
     rows = id_and_text(docs)
-    short = rows.filter(F.length("text") <= chunk).mapInArrow(_encoded(path, pattern), "doc_id long, ids binary")
+    made = "ids binary, bytes binary" if back else "ids binary"
+    one_pass = _encoded(path, pattern, back)
+    short = rows.filter(F.length("text") <= chunk).mapInArrow(one_pass, f"doc_id long, {made}")
     # the position in the scan: the same again if a task is run again
     long = rows.withColumn("row", F.monotonically_increasing_id()).filter(F.length("text") > chunk).select("row", "doc_id", "text")
     parts = long.mapInArrow(_chunked(chunk, overlap), "row long, doc_id long, no int, core string, ahead string")
@@ -130,27 +144,26 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN,
     ).otherwise(F.col("core"))
     cut = cut.select("row", "doc_id", "no", "whole", text.alias("text"))
     met = cut.filter("whole").select("row", "doc_id", "no", "text").repartition("row", "no").mapInArrow(
-        _encoded(path, pattern), "row long, doc_id long, no int, ids binary")
+        one_pass, f"row long, doc_id long, no int, {made}")
 
     def joined(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("no")
-        return pd.DataFrame({"doc_id": part["doc_id"].iloc[:1], "ids": [b"".join(part["ids"])]})
+        return pd.DataFrame({"doc_id": part["doc_id"].iloc[:1]} | {c: [b"".join(part[c])] for c in part.columns[3:]})
 
-    met = met.groupBy("row").applyInPandas(joined, "doc_id long, ids binary")
+    met = met.groupBy("row").applyInPandas(joined, f"doc_id long, {made}")
     rest = cut.filter(~F.col("whole")).groupBy("row").agg(
         F.first("doc_id").alias("doc_id"), F.array_join(F.expr("transform(array_sort(collect_list(struct(no, text))), x -> x.text)"), "").alias("text")
-    ).select("doc_id", "text").mapInArrow(_encoded(path, pattern), "doc_id long, ids binary")
+    ).select("doc_id", "text").mapInArrow(one_pass, f"doc_id long, {made}")
     return short.unionByName(met).unionByName(rest)
 
 
 def _decoded(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoding(path, pattern)
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 some = batch.slice(a, 256)
-                back = [bpe.decode_bytes(np.frombuffer(x, dtype="<u4").tolist()) for x in some["ids"].to_pylist()]
-                yield pa.RecordBatch.from_arrays([some["doc_id"], some["ids"], pa.array(back, pa.binary())], names=["doc_id", "ids", "bytes"])
+                back = pa.array(decoded(some["ids"].to_pylist(), path, pattern), pa.binary())
+                yield pa.RecordBatch.from_arrays([some["doc_id"], some["ids"], back], names=["doc_id", "ids", "bytes"])
     return run
 
 
@@ -160,7 +173,7 @@ def decode(rows: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN)
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
-    return decode(encode(docs, path), path).select(
+    return encode(docs, path, back=True).select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"),
     )

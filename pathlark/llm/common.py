@@ -55,8 +55,11 @@ _CACHE: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    if base not in _CACHE or len(_CACHE[base]) <= n:
-        _CACHE[base] = _powers(base, max(n, 2 * PIECE))
+    """Kept for texts of usual length only: a worker does not hold on to what one long document needed."""
+    if n > 2 * PIECE:
+        return _powers(base, n)
+    if base not in _CACHE:
+        _CACHE[base] = _powers(base, 2 * PIECE)
     return _CACHE[base][: n + 1]
 
 

@@ -5,7 +5,9 @@ occur. For an item of m words each window of m words that shares a shingle with
 gets a 64-bit SimHash from running sums of its shingles' bits (a window that shares none has similarity
 0 and cannot be a hit). Fingerprints are cut into ``BLOCKS`` blocks: two within ``RADIUS`` bits differ by
 at most ``RADIUS // BLOCKS`` bits in some block, so a table of each block's near values finds all items
-within the radius. These are compared exactly: sum of smaller weights over sum of larger ones.
+within the radius. These are compared exactly: sum of smaller weights over sum of larger ones. An item of fewer
+than five words is one shingle of all its words; windows of so few words have one shingle, so equal hashes are
+all there is to look for.
 
 Items go to the tasks in groups of at most ``ITEM_CHARS`` characters, each group against all documents, so
 that what is broadcast is bounded however large the benchmark is. Documents are never shuffled.
@@ -67,16 +69,20 @@ class Items:
 
     def __init__(self, items: list[tuple[int, str]]):
         self.ids, self.words, self.found = [], [], []
+        self.short: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for item_id, text in items:
             raw = np.frombuffer(text.encode(), np.uint8)
             words, rows = hashed_words(raw, np.array([0, len(raw)]))
-            if len(words) >= SIZE:
+            if 0 < len(words) < SIZE:
+                self.short[len(words)].append((int(shingles(words, rows, len(words))[0][0]), item_id))
+            elif len(words):
                 self.ids.append(item_id)
                 self.words.append(len(words))
                 self.found.append(shingles(words, rows, SIZE)[0])
         self.prints = np.concatenate([packed(bit_sums(f)[-1:]) for f in self.found]) if self.found else np.zeros(0, U64)
         pairs = sorted({(int(h), self.words[i]) for i, f in enumerate(self.found) for h in f})
         self.vocabulary = np.asarray(sorted({h for h, _ in pairs}), dtype=U64)
+        self.hashes = {m: np.unique(np.array([h for h, _ in own], dtype=U64)) for m, own in self.short.items()}
         self.sizes = defaultdict(list)
         for h, m in pairs:
             self.sizes[h].append(m)
@@ -106,6 +112,24 @@ class Items:
         return w[ok], own[i[ok]], away[ok]
 
 
+def short_hits(items: Items, words: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, int, int, int, int, float]]:
+    """Row, item, start, end, distance and similarity of the first place of each item of few words in each row."""
+    first = np.searchsorted(rows, rows)
+    for m, known in sorted(items.hashes.items()):
+        found, where = shingles(words, rows, m)
+        whole = where + m <= len(rows)
+        whole[whole] &= rows[where[whole] + m - 1] == rows[where[whole]]  # a row of fewer words is no such window
+        spots = np.flatnonzero(whole & np.isin(found, known))
+        seen = set()
+        for p, h in zip(where[spots].tolist(), found[spots].tolist(), strict=True):
+            r, start = int(rows[p]), int(p - first[p])
+            if (r, h) not in seen:
+                seen.add((r, h))
+                for own, item_id in items.short[m]:
+                    if own == h:
+                        yield r, item_id, start, start + m, 0, 1.0
+
+
 def hits(items: Items, found: np.ndarray, n_words: int, similarity: float) -> Iterator[tuple[int, int, int, int, float]]:
     """For one document: item, start, end, distance and similarity of the best window for each item in it."""
     spots = np.flatnonzero(items.bitmap[(found >> U64(42)).astype(np.int64)])
@@ -142,9 +166,9 @@ def hits(items: Items, found: np.ndarray, n_words: int, similarity: float) -> It
 def contamination(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, item_chars: int = ITEM_CHARS) -> DataFrame:
     """One row for each row of documents and item of which it holds a passage: its best window.
 
-    Null and empty texts hold nothing; items of fewer than five words have no
-    shingle and are left out; a document shorter than the item is one window. Of equal windows the first
-    counts. Repeated rows and items give repeated rows. Other columns are not read.
+    Null and empty texts hold nothing, and items without words are in no document. An item of fewer than five
+    words is in each document that has these words in a row. A document shorter than a longer item is one window.
+    Of equal windows the first counts. Repeated rows and items give repeated rows. Other columns are not read.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -162,11 +186,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, similarity: float = SIM
                 kept.append(Items(sent.value))
             known = kept[0]
             for part, flat, at in pieces(batches):
-                if not len(known.vocabulary):
+                if not len(known.vocabulary) and not known.short:
                     continue
                 words, of = hashed_words(flat, at)
                 found, where = shingles(words, of, SIZE)
-                ids, out = part["doc_id"].to_pylist(), []
+                ids = part["doc_id"].to_pylist()
+                out = [(ids[r], *hit) for r, *hit in short_hits(known, words, of)]
                 touched = np.unique(of[where[known.bitmap[(found >> U64(42)).astype(np.int64)]]]) if len(found) else []
                 for r in touched:
                     a, b = np.searchsorted(of[where], [r, r + 1])

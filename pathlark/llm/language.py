@@ -191,8 +191,8 @@ def labels(scores: np.ndarray, opens: np.ndarray, penalty: float) -> np.ndarray:
     return out
 
 
-def predictions(flat: np.ndarray, at: np.ndarray, m: dict, penalty: float) -> tuple[np.ndarray, np.ndarray, list[list[dict]]]:
-    """Language, score and spans of each text of a piece."""
+def predictions(flat: np.ndarray, at: np.ndarray, m: dict, penalty: float, with_spans: bool = True) -> tuple[np.ndarray, np.ndarray, list[list[dict]]]:
+    """Language, score and, if wanted, spans of each text of a piece."""
     langs, n = m["langs"], len(at) - 1
     words = Words(flat, at, m["bins"])
     pred, score = np.full(n, "und", dtype=object), np.zeros(n)
@@ -215,6 +215,8 @@ def predictions(flat: np.ndarray, at: np.ndarray, m: dict, penalty: float) -> tu
     top = size.argmax(axis=1)
     pred[own] = np.asarray(langs, dtype=object)[top[own]]
     score[own] = size[own, top[own]] / letters[own]
+    if not with_spans:
+        return pred, score, spans
     cut = np.flatnonzero(np.r_[True, (words.rows[1:] != words.rows[:-1]) | (label[1:] != label[:-1])])
     last = np.r_[cut[1:] - 1, len(label) - 1]
     base = words.at[words.rows[cut]]
@@ -249,7 +251,7 @@ def accepted(docs: DataFrame, model: dict, least: float = 0.5, penalty: float =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, flat, at in pieces(batches):
-            pred, score, _ = predictions(flat, at, sent.value, penalty)
+            pred, score, _ = predictions(flat, at, sent.value, penalty, with_spans=False)
             yield part.filter(pa.array((pred != "und") & (score >= least)))
 
     return docs.mapInArrow(run, docs.schema)

@@ -1,7 +1,9 @@
 """Near-duplicate lines: a segment-partition edit join.
 
-Lines of at least ``MIN_CHARS`` characters that are connected by edit distances of at most ``EDITS`` are one
-class, whose first line (by doc_id, then line number) stays. Exact copies are found by 128-bit hashes.
+Lines that are equal, or have at least ``MIN_CHARS`` characters and are connected by edit distances of at most
+``EDITS``, are one class, whose first line (by doc_id, then line number) stays. Exact copies of any line that
+is not blank are found by 128-bit hashes. The least length is 15 characters for each edit: in shorter lines,
+as "Page 12" and "Page 13", so many edits are no copy's noise but another line.
 
 For the join each distinct line is cut into ``EDITS + 1`` segments. Within that distance one segment stays
 untouched, so a line as long or longer has it as a substring, near the same place: the index holds
@@ -30,7 +32,7 @@ from pathlark.llm.links import components
 from pathlark.session import stored
 
 EDITS = 2
-MIN_CHARS = 30
+MIN_CHARS = 15 * EDITS
 HELD = 1 << 18
 #: Comparisons of sketches that a key gets at once; beyond, its lines are linked first. Decides the way only.
 DENSE = 1 << 22
@@ -98,8 +100,9 @@ def _lines(buckets: int, edits: int, min_chars: int):
 
         for part, flat, at in pieces(batches):
             chars, start, end, row, number = split_lines(flat, at)
-            long = end - start >= min_chars
-            start, end, row, number = start[long], end[long], row[long], number[long]
+            solid = np.r_[0, np.cumsum((chars != 32) & ((chars < 9) | (chars > 13)))]
+            some = solid[end] > solid[start]
+            start, end, row, number = start[some], end[some], row[some], number[some]
             if not len(start):
                 continue
             sums, other = running(chars), np.zeros(len(chars) + 1, U64)
@@ -113,11 +116,13 @@ def _lines(buckets: int, edits: int, min_chars: int):
             at_both = np.empty(2 * len(start), np.int64)
             at_both[::2], at_both[1::2] = start, end
             sketch = np.bitwise_xor.reduceat(np.r_[bits, np.uint32(0)], at_both)[::2]
+            long = np.flatnonzero(end - start >= min_chars)  # the others are only looked up as a whole
+            start, end, h, sketch = start[long], end[long], x["h"][long], sketch[long]
             length, own = end - start, []
 
-            def record(lines, found, lengths, i, probe, x=x, sketch=sketch, own=own):
+            def record(lines, found, lengths, i, probe, h=h, sketch=sketch, own=own):
                 k = np.zeros(len(lines), KEY)
-                k["key"], k["h"], k["sketch"], k["probe"] = _key(found, lengths, i), x["h"][lines], sketch[lines], probe
+                k["key"], k["h"], k["sketch"], k["probe"] = _key(found, lengths, i), h[lines], sketch[lines], probe
                 own.append(k)
 
             every = np.arange(len(start))
@@ -275,7 +280,8 @@ def _verify(edits: int):
 def near_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, dense: int = DENSE) -> DataFrame:
     """``doc_id, n_lines, removed`` (numbers of the lines to remove, in order) of each row of documents.
 
-    Lines end at ``\\n``; a null or empty text is one empty line. Lines shorter than ``min_chars`` stay. Rows with
+    Lines end at ``\\n``; a null or empty text is one empty line. Blank lines stay; lines shorter than
+    ``min_chars`` go only as exact copies. Rows with
     equal doc_id and text are one document; with different texts the order is by line, then by a hash of the
     text. Rows without doc_id are compared with nothing. Other columns are not read. Lines are known by a
     64-bit hash between the steps; equal ones by 128 bits.

@@ -3,8 +3,9 @@
 Base counts (words, symbols, repeated lines, words in repeated five-word windows) come from array
 expressions within a row. The method then compares two histograms of a document, character classes and
 common words, with those of each language's documents, by Jensen-Shannon distance (base 2, 0 to 1). A document
-is rejected if it is far from *every* language in either histogram, and only where the histogram is long
-enough to tell (``MIN_WORDS`` words, ``MIN_COMMON`` common words).
+is rejected if it is far from *every* language in either histogram, and only where it is long enough to
+tell (``MIN_WORDS`` words). Words off a language's list are one bin of both word histograms, so a long text
+without any common word is as far from a language as can be (about 0.33 for lists that a fifth of the words are on).
 
 References are sums over all documents with a lang that has a list of common words here, so there are at
 most as many as lists; they enter the plan as literals. The counts per document are stored once and read
@@ -20,9 +21,9 @@ from pathlark.llm.common import read_table
 from pathlark.session import stored
 
 MIN_WORDS = 50
-MIN_COMMON = 20
 MAX_CLASS_DISTANCE = 0.30
-MAX_WORD_DISTANCE = 0.75
+#: Between the farthest labelled good text of the test tables (0.313) and texts without common words (0.331).
+MAX_WORD_DISTANCE = 0.32
 WINDOW = 5
 CLASSES = ["upper", "lower", "digit", "space", "mark", "other"]
 # Frequent words of each language, in alphabetical order.
@@ -83,19 +84,21 @@ def features(docs: DataFrame) -> DataFrame:
 
 
 def references(rows: DataFrame) -> dict[str, tuple[list[float], dict[str, float]]]:
-    """Per language with documents: shares of the character classes and of its common words."""
+    """Per language with documents: shares of the character classes, and of its common words among all words."""
     known = rows.filter(F.col("lang").isin(list(COMMON)))
-    sums = known.groupBy("lang").agg(*(F.sum(F.col("classes")[i]).alias(c) for i, c in enumerate(CLASSES)))
+    sums = known.groupBy("lang").agg(F.sum("n_words").alias("n_words"), *(F.sum(F.col("classes")[i]).alias(c) for i, c in enumerate(CLASSES)))
     words = known.select("lang", F.explode("common").alias("c")).groupBy("lang", "c.word").agg(F.sum("c.n").alias("n"))
     out: dict[str, tuple[list[float], dict[str, float]]] = {}
+    total = {}
     for r in sums.collect():  # at most a row per list
+        total[r["lang"]] = r["n_words"]
         counts = [r[c] for c in CLASSES]
         if sum(counts):
             out[r["lang"]] = ([c / sum(counts) for c in counts], {})
     for r in words.orderBy("lang", "word").collect():  # at most a row per word of the lists and language
         if r["lang"] in out and r["word"] in COMMON[r["lang"]]:
-            out[r["lang"]][1][r["word"]] = r["n"]
-    return {k: (c, {w: n / sum(ws.values()) for w, n in ws.items()}) for k, (c, ws) in sorted(out.items())}
+            out[r["lang"]][1][r["word"]] = r["n"] / total[r["lang"]]
+    return dict(sorted(out.items()))
 
 
 def _half(x: Column, y: Column) -> Column:
@@ -112,21 +115,26 @@ def class_distance(classes: Column, reference: list[float]) -> Column:
     return F.when(total > 0, F.sqrt(F.greatest(parts, F.lit(0.0))))
 
 
-def with_word_distances(rows: DataFrame, known: dict[str, tuple[list[float], dict[str, float]]]) -> tuple[DataFrame, list[tuple[Column, Column]]]:
-    """Per reference the distance over its list's words, and how many of them the document has.
+def with_word_distances(rows: DataFrame, known: dict[str, tuple[list[float], dict[str, float]]]) -> tuple[DataFrame, list[Column]]:
+    """Per reference the distance over its list's words and a bin for all others; null without words.
 
-    A word that the document lacks adds half its share of the reference. Words and totals are columns of
-    their own, so that they are worked out once for a document and not once for each of its words.
+    A word that the document lacks adds half its share of the reference. The document's words of a list are
+    a column of their own, so that they are worked out once for a document and not once for each of its words.
     """
-    lists = [(f"_own_{k}", f"_total_{k}", words) for k, (_, words) in known.items() if words]
-    rows = rows.select("*", *(F.filter("common", lambda c: c["word"].isin(list(w))).alias(own) for own, _, w in lists))
-    rows = rows.select("*", *(F.aggregate(own, F.lit(0.0), lambda n, c: n + c["n"]).alias(total) for own, total, _ in lists))
+    lists = [(f"_own_{k}", words) for k, (_, words) in known.items() if words]
+    rows = rows.select("*", *(F.filter("common", lambda c: c["word"].isin(list(w))).alias(own) for own, w in lists))
     out = []
-    for own, total, words in lists:
+    for own, words in lists:
+        listed = sum(words.values())
         shares = F.create_map(*(F.lit(x) for pair in sorted(words.items()) for x in pair))
-        pairs = F.transform(own, lambda c: F.struct((c["n"] / F.col(total)).alias("p"), F.element_at(shares, c["word"]).alias("q")))
-        parts = F.aggregate(pairs, F.lit(0.5), lambda s, c: s + _half(c["p"], c["q"]) + _half(c["q"], c["p"]) - c["q"] / 2)
-        out.append((F.sqrt(F.greatest(parts, F.lit(0.0))), F.col(total)))
+        pairs = F.transform(own, lambda c: F.struct((c["n"] / F.col("n_words")).alias("p"), F.element_at(shares, c["word"]).alias("q")))
+        start = F.struct(F.lit(listed / 2).alias("s"), F.lit(0.0).alias("p"))
+        sums = F.aggregate(pairs, start, lambda a, c: F.struct(
+            (a["s"] + _half(c["p"], c["q"]) + _half(c["q"], c["p"]) - c["q"] / 2).alias("s"), (a["p"] + c["p"]).alias("p")))
+        other, rest = F.greatest(F.lit(0.0), 1 - F.col(f"{own}_sums")["p"]), F.lit(max(0.0, 1 - listed))
+        rows = rows.withColumn(f"{own}_sums", sums)
+        parts = F.col(f"{own}_sums")["s"] + _half(other, rest) + _half(rest, other)
+        out.append(F.when(F.col("n_words") > 0, F.sqrt(F.greatest(parts, F.lit(0.0)))))
     return rows, out
 
 
@@ -142,21 +150,18 @@ def judge(docs: DataFrame) -> DataFrame:
     by_class = [class_distance(F.col("classes"), c) for c, _ in known.values()]
     rows, by_word = with_word_distances(rows, known)
     rows = rows.withColumn("class_distance", F.least(*by_class, F.lit(2.0)) if by_class else nothing)
-    # of the languages whose words the document has most of
-    enough = F.greatest(*(t for _, t in by_word), F.lit(0.0)) if by_word else F.lit(0.0)
-    rows = rows.withColumn("n_common", enough)
-    rows = rows.withColumn("word_distance", F.least(*(F.when(t >= MIN_COMMON, a) for a, t in by_word), F.lit(2.0)) if by_word else nothing)
+    rows = rows.withColumn("word_distance", F.least(*by_word, F.lit(2.0)) if by_word else nothing)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     far = (F.col("n_words") >= MIN_WORDS) & (
         F.coalesce(F.col("class_distance") > MAX_CLASS_DISTANCE, F.lit(False))
-        | ((F.col("n_common") >= MIN_COMMON) & F.coalesce(F.col("word_distance") > MAX_WORD_DISTANCE, F.lit(False))))
+        | F.coalesce(F.col("word_distance") > MAX_WORD_DISTANCE, F.lit(False)))
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~far).alias("kept"),
-        "class_distance", "word_distance", "n_common")
+        "class_distance", "word_distance")
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(read_table(spark, sf_dir, "documents")).drop("class_distance", "word_distance", "n_common")
+    return judge(read_table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
 
 def _list(values: list[str]) -> str:
@@ -180,15 +185,20 @@ classes AS (SELECT t.r, lang, unnest({CLASSES}) AS c, unnest([coalesce(upper, 0)
 listed AS ({" UNION ALL ".join(f"SELECT '{k}' AS l, unnest([{_list(v)}]) AS w" for k, v in COMMON.items())}),
 common AS (SELECT w.r, t.lang, lower(w.w) AS w, count(*)::DOUBLE AS n FROM w JOIN t USING (r) WHERE lower(w.w) IN (SELECT w FROM listed) GROUP BY 1, 2, 3),
 class_ref AS (SELECT lang AS l, c, sum(n) / sum(sum(n)) OVER (PARTITION BY lang) AS q FROM classes WHERE lang IN ({_list(list(COMMON))}) GROUP BY lang, c),
-word_ref AS (SELECT l, w, sum(n) / sum(sum(n)) OVER (PARTITION BY l) AS q FROM common JOIN listed USING (w) WHERE l = lang GROUP BY l, w),
+word_total AS (SELECT lang AS l, sum(words.n) AS t FROM t JOIN words USING (r) WHERE lang IN ({_list(list(COMMON))}) GROUP BY lang),
+word_ref AS (SELECT l, w, sum(n) / max(word_total.t) AS q FROM common JOIN listed USING (w) JOIN word_total USING (l) WHERE l = lang GROUP BY l, w),
+lists AS (SELECT l, sum(q) AS listed, greatest(0, 1 - sum(q)) AS rest FROM word_ref GROUP BY l),
 class_share AS (SELECT r, c, n / sum(n) OVER (PARTITION BY r) AS p FROM classes QUALIFY sum(n) OVER (PARTITION BY r) > 0),
 class_js AS (SELECT r, l, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) / 2 ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) / 2 ELSE 0 END))) AS d
   FROM class_share JOIN class_ref USING (c) GROUP BY r, l),
-word_share AS (SELECT r, l, q, n / sum(n) OVER (PARTITION BY r, l) AS p, sum(n) OVER (PARTITION BY r, l) AS total FROM common JOIN word_ref USING (w)),
-word_js AS (SELECT r, l, max(total) AS total, sqrt(greatest(0, 0.5 + sum(p * log2(2 * p / (p + q)) / 2 + q * log2(2 * q / (p + q)) / 2 - q / 2))) AS d
-  FROM word_share GROUP BY r, l),
+word_share AS (SELECT common.r, l, q, common.n / words.n AS p FROM common JOIN word_ref USING (w) JOIN words ON words.r = common.r),
+word_sums AS (SELECT r, l, sum(p) AS p, sum(p * log2(2 * p / (p + q)) / 2 + q * log2(2 * q / (p + q)) / 2 - q / 2) AS s FROM word_share GROUP BY r, l),
+word_other AS (SELECT words.r, l, listed / 2 + coalesce(s, 0) AS s, greatest(0, 1 - coalesce(p, 0)) AS p, rest AS q
+  FROM words CROSS JOIN lists LEFT JOIN word_sums USING (r, l)),
+word_js AS (SELECT r, l, sqrt(greatest(0, s + CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) / 2 ELSE 0 END
+  + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) / 2 ELSE 0 END)) AS d FROM word_other),
 far AS (SELECT t.r, coalesce((SELECT min(d) FROM class_js c WHERE c.r = t.r) > {MAX_CLASS_DISTANCE}, false) AS by_class,
-  coalesce((SELECT min(d) FROM word_js j WHERE j.r = t.r AND total >= {MIN_COMMON}) > {MAX_WORD_DISTANCE}, false) AS by_word FROM t),
+  coalesce((SELECT min(d) FROM word_js j WHERE j.r = t.r) > {MAX_WORD_DISTANCE}, false) AS by_word FROM t),
 f AS (SELECT r, doc_id, coalesce(words.n, 0) AS n_words, coalesce(chars, 0) AS word_chars, coalesce(symbols, 0) AS n_symbols,
   coalesce(lines.n, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words
   FROM t LEFT JOIN words USING (r) LEFT JOIN lines USING (r) LEFT JOIN covered USING (r))

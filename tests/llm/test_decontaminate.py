@@ -30,9 +30,9 @@ def brute(texts, items):
         words = (t or "").lower().split()
         for i, item in items:
             want = (item or "").lower().split()
-            if len(want) < 5 or not words:
-                continue
             m = len(want)
+            if not want or not words or len(words) < m < 5:
+                continue
             best = max((alike(grams(words[s : s + m]), grams(want)), -s) for s in range(max(1, len(words) - m + 1)))
             if best[0] >= 0.8:
                 out[d, i] = (-best[1], round(best[0], 9))
