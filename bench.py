@@ -23,7 +23,7 @@ from pathlark.session import build_session  # noqa: E402
 HEADLINE = [
     "clean_valid", "clean_stats", "user_features_orders", "item_features_orders", "user_high_freq_category_orders",
     "behavior_funnel_orders", "win_sliding_features", "win_sliding_features_day", "hot_items_two_phase",
-    "hot_items_two_phase_orders", "agg_training_samples_orders", "score_tree_ensemble", "topk_per_user",
+    "hot_items_two_phase_orders", "agg_training_samples_orders", "score_tree_ensemble", "score_tree_ensemble_50x3", "score_tree_ensemble_100x5", "topk_per_user",
     "topk_per_user_orders", "serving_top50", "ctr_cvr_after_rec_orders", "pr_auc_average_precision",
     "evaluate_offline", "downsample_negatives", "train_test_split", "sink_upsert_recommendations",
     "stream_land_behavior", "stream_win_sliding_features", "stream_topk",

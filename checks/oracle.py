@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks.queries import (
-    AS_OF, DELAY_SECONDS, ONE_USER, ORDER_SIZE, ORDER_SLIDE, RANGE_END, RANGE_START, REC_BOUND_DAYS, REC_SIZE, REC_SLIDE, SPLIT_AT,
+    AS_OF, DELAY_SECONDS, LARGE, ONE_USER, ORDER_SIZE, ORDER_SLIDE, RANGE_END, RANGE_START, REC_BOUND_DAYS, REC_SIZE, REC_SLIDE, SPLIT_AT,
 )
 from pathlark.functions.trees import STARTER, Split
 
@@ -84,6 +84,21 @@ def predict() -> str:
     return f"1.0 / (1.0 + exp(-{z}))"
 
 
+def nested(node) -> str:
+    if not isinstance(node, Split):
+        return f"CAST({float(node)!r} AS DOUBLE)"
+    return f"CASE WHEN {node.feature} <= CAST({float(node.threshold)!r} AS DOUBLE) THEN {nested(node.left)} ELSE {nested(node.right)} END"
+
+
+def predict_large(model) -> str:
+    """One value for each tree, added up."""
+    names = ("buy_rate", "active_score", "pv_count_5min", "is_cart_or_fav", "category_match")
+    inputs = ", ".join(f"CAST(CAST({n} AS FLOAT) AS DOUBLE) AS {n}" for n in names)
+    z = f"list_sum([{', '.join(map(nested, model.trees))}]) * CAST({model.rate!r} AS DOUBLE) + CAST({model.intercept!r} AS DOUBLE)"
+    return f"""SELECT user_id, item_id, round(1.0 / (1.0 + exp(-({z}))), 9) AS predict_score
+      FROM (SELECT user_id, item_id, {inputs} FROM samples)"""
+
+
 def enriched(win_name: str = "win", users: str = "uf", items: str = "itf", name: str = "scored") -> str:
     return f"""
 {name} AS (SELECT *, CAST(0.7 AS DOUBLE) * predict_score + CAST(0.3 AS DOUBLE) * popularity_score AS fs FROM
@@ -463,6 +478,8 @@ def build() -> dict[str, str]:
     o["behavior_ts"] = with_(BEH, "SELECT id, behavior_time * 1000000 AS event_time FROM beh")
     o["build_training_set"] = with_(sampled("events"), f"SELECT {SAMPLE_COLS} FROM samples")
     o["score_tree_ensemble"] = with_(sampled(), f"SELECT user_id, item_id, round({predict()}, 9) AS predict_score FROM samples")
+    for name, model in LARGE.items():
+        o[f"score_tree_ensemble_{name}"] = with_(sampled(), predict_large(model))
     o["score_batch"] = with_(OFFLINE, """SELECT user_id, item_id, id, label, buy_rate, active_score, category_match, pv_count_5min,
       is_cart_or_fav, round(predict_score, 9) AS predict_score FROM off""")
 

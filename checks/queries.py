@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from pathlark import schemas as S
 from pathlark.functions import labels, lines, numeric
-from pathlark.functions.trees import score_tree_ensemble
+from pathlark.functions.trees import Ensemble, Split, score_tree_ensemble
 from pathlark.operators import (
     cleaning as C, dashboard as D, evaluation as E, features as X, joins as J, ranking as R, sampling as P,
     sinks as K, windows as W,
@@ -689,6 +689,33 @@ def _(s, d):
     return TR.build_training_set(beh(s, d))
 
 
+def grown_ensemble(trees: int, depth: int) -> Ensemble:
+    """As many trees as the search may choose, with thresholds and leaves by a rule."""
+    steps = {"buy_rate": 0.05, "active_score": 0.04, "pv_count_5min": 0.75, "is_cart_or_fav": 0.5, "category_match": 0.5}
+
+    def grown(level: int, k: int):
+        if not level:
+            return ((k * 37) % 101 - 50) / 64
+        feature = list(steps)[(k * 7 + level) % len(steps)]
+        return Split(feature, (1 + (k * 5 + level) % 19) * steps[feature], grown(level - 1, 2 * k), grown(level - 1, 2 * k + 1))
+
+    return Ensemble(tuple(grown(depth, k + 1) for k in range(trees)), rate=0.1, intercept=-1.0)
+
+
+LARGE = {"50x3": grown_ensemble(50, 3), "100x5": grown_ensemble(100, 5)}
+
+
+def scored_by_vectors(name: str):
+    @query(f"score_tree_ensemble_{name}")
+    def _(s, d):
+        samples = X.agg_training_samples(*tables(s, d, "orders"))
+        return score_tree_ensemble(samples, LARGE[name]).select("user_id", "item_id", "predict_score")
+
+
+for _name in LARGE:
+    scored_by_vectors(_name)
+
+
 @query("score_tree_ensemble")
 def _(s, d):
     rows = X.agg_training_samples(*tables(s, d, "orders"))

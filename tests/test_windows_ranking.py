@@ -136,14 +136,16 @@ def test_metric_lists(spark):
     assert D.ctr_cvr_lookup(m.limit(0), recs, start, end).first()[:3] == (0.0, 0.0, 2)
 
 
-@pytest.mark.parametrize("trees", [3, 50])
-def test_large_ensembles_leave_the_stage_compiled(spark, trees):
-    """50 trees of depth 5: as many as the search may choose."""
+@pytest.mark.parametrize("trees,depth", [(3, 5), (50, 3), (100, 5), (30, 4), (20, 6), (5, 7)])
+def test_large_ensembles_leave_the_stage_compiled(spark, trees, depth):
+    """Up to 100 trees of depth 5, as many as the search may choose; lopsided trees; one leaf; beyond bit vectors."""
     def grown(depth, k):
         feature = ["buy_rate", "active_score", "pv_count_5min", "is_cart_or_fav", "category_match"][(depth + k) % 5]
-        return Split(feature, 0.1 * depth + 0.01 * k, grown(depth - 1, 2 * k), grown(depth - 1, 2 * k + 1)) if depth else float(k % 7) - 3
+        if not depth or k % 11 == 10:
+            return float(k % 7) - 3
+        return Split(feature, 0.1 * depth + 0.01 * (k % 40), grown(depth - 1, 2 * k), grown(depth - 1, 2 * k + 1))
 
-    model = Ensemble(tuple(grown(5, k + 1) for k in range(trees)), rate=0.1)
+    model = Ensemble((*(grown(depth, k + 1) for k in range(trees)), 0.25), rate=0.1, weights=tuple(0.5 + k % 2 for k in range(trees + 1)))
     data = spark.range(200).select(*(
         (F.pmod(F.xxhash64("id", F.lit(c)), F.lit(100)) / 100).alias(c) for c in ("buy_rate", "active_score", "pv_count_5min", "is_cart_or_fav", "category_match")))
     got = score_tree_ensemble(data, model)
@@ -157,7 +159,7 @@ def test_large_ensembles_leave_the_stage_compiled(spark, trees):
 
     for r in got.collect():
         x = {c: float(np.float32(r[c])) for c in data.columns}
-        p = 1 / (1 + np.exp(-0.1 * sum(leaf(t, x) for t in model.trees)))
-        assert r["predict_score"] == pytest.approx(p, abs=1e-6)
+        p = 1 / (1 + np.exp(-0.1 * sum(leaf(t, x) * w for t, w in zip(model.trees, model.weights))))
+        assert r["predict_score"] == pytest.approx(p, abs=1e-9)
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert ("transform(" in plan) == (trees == 50)
+    assert ("transform(" in plan) == (depth == 7) != plan.strip().startswith("*(")
