@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from checks.queries import (
     AS_OF, DELAY_SECONDS, LARGE, ONE_USER, ORDER_SIZE, ORDER_SLIDE, RANGE_END, RANGE_START, REC_BOUND_DAYS, REC_SIZE, REC_SLIDE, SPLIT_AT,
 )
 from pathlark.functions.trees import STARTER, Split
+from pathlark.plans import training as TR
 
 TYPES = "('pv','cart','fav','buy')"
 
@@ -462,8 +465,14 @@ def build() -> dict[str, str]:
             sampled() + "," + hexrank("TRUE"),
             """SELECT user_id, item_id, buy_label, TRUE AS in_range, TRUE AS beats_chance FROM ranked
             WHERE rn <= ceil((SELECT count(*) FROM samples) * CAST(0.2 AS DOUBLE))""")
-    o["grid_search_cv"] = "SELECT unnest([0.1, 1.0, 10.0])::DOUBLE AS c, TRUE AS in_range, TRUE AS not_better"
-    o["rank_models"] = "SELECT unnest([1, 2, 3])::INT AS place, TRUE AS in_range, TRUE AS in_order"
+    grid = [("GradientBoosting", {"depth": x, "rate": r, "trees": t}) for x in TR.GBT_DEPTH for r in TR.GBT_RATE for t in TR.GBT_TREES]
+    grid += [("RandomForest", {"depth": x, "trees": t}) for x in TR.FOREST_DEPTH for t in TR.FOREST_TREES]
+    grid += [("LogisticRegression", {"c": c}) for c in TR.LOGREG_C]
+    o["grid_search_cv"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS family, '{json.dumps(params, sort_keys=True)}' AS params, {TR.FOLDS} AS folds, TRUE AS in_range, TRUE AS place_holds"
+        for name, params in grid)
+    o["rank_models"] = "SELECT unnest([1, 2, 3])::INT AS place, TRUE AS best_of_family, TRUE AS in_order"
+    o["score_batch_champion"] = with_(OFFLINE, "SELECT user_id, item_id, id, label, TRUE AS in_range, TRUE AS as_fitted FROM off")
     o["with_folds"] = with_(sampled(), """SELECT user_id, item_id,
       CAST(('0x' || left(md5(concat_ws('|', 43, user_id, item_id)), 8)) AS BIGINT) % 3 AS fold FROM samples""")
     o["class_balance_weight"] = with_(sampled(), """SELECT user_id, item_id, buy_label,

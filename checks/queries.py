@@ -22,6 +22,7 @@ from pathlark.operators import (
 from pathlark.plans import evaluate as EV
 from pathlark.plans import recommend as RC
 from pathlark.plans import refresh as RF
+from pathlark.plans import search as SE
 from pathlark.plans import training as TR
 from pathlark.session import ROCKSDB, fresh_path, stored, use_utc
 from pathlark.sources import adapters as A
@@ -765,40 +766,74 @@ query("train_logreg")(trained(lambda data: TR.train_logreg(1.0, data.train_rows)
 query("train_fallback_tree")(trained(lambda data: TR.train_fallback_tree()))
 
 
-@query("grid_search_cv")
-def _(s, d):
-    """Three folds over the three strengths of one family: each option's score is a share, and the one
-    chosen has the best."""
-    data = prepared(s, d)
-    options = TR.full_grid(data.train_rows)["LogisticRegression"]
-    best, scores = TR.grid_search_cv(data.train, "LogisticRegression", options)
-    rows = [(p["c"], 0 < v <= 1, best.score >= v) for (p, _), v in zip(options, scores)]
-    return s.createDataFrame(rows, "c DOUBLE, in_range BOOLEAN, not_better BOOLEAN")
+#: Fits at a time. The result is the same for any number.
+AT_ONCE = 6
+_SEARCHED: dict[tuple[str, str], tuple] = {}
+
 
+def searched(s, d):
+    """The whole search, once for the queries that report on it: training rows, fold scores, ranked models, and
+    where the champion was saved."""
+    key = (s.sparkContext.applicationId, d)
+    if key not in _SEARCHED:
+        data, path = prepared(s, d), fresh_path(s, "champion")
+        scores = SE.search(data, parallel=AT_ONCE)
+        ranked = SE.best_models(data, scores, AT_ONCE)
+        TR.save_best(data, ranked, path)
+        _SEARCHED[key] = (data, scores, ranked, path)
+    return _SEARCHED[key]
 
-def small_grid(rows):
-    """One option of each family; the whole grid takes too long for a side-by-side check."""
-    full = TR.full_grid(rows)
-    return {name: options[:1] for name, options in full.items()}
+
+@query("grid_search_cv")
+def _(s, d):
+    """All 15 options over three folds: each one's parameters, its folds, whether its scores are shares, and
+    whether its place is what the stored fold scores give, worked out anew by counting better options."""
+    _, scores, _, _ = searched(s, d)
+    own = SE.ranked_options(scores)
+    means = scores.groupBy("family", "params").agg((F.sum("score") / F.count(F.lit(1))).alias("mean"), F.min("score").alias("low"), F.max("score").alias("high"))
+    x, y = means.alias("x"), means.alias("y")
+    better = x.join(y, F.expr("y.mean > x.mean OR y.mean = x.mean AND (y.family, y.params) < (x.family, x.params)"), "left").groupBy(
+        "x.family", "x.params", "x.low", "x.high").agg(F.count("y.mean").alias("better"))
+    return own.join(better, ["family", "params"]).select(
+        "family", "params", "folds", ((F.col("low") > 0) & (F.col("high") <= 1)).alias("in_range"),
+        (F.col("place") == F.col("better") + 1).alias("place_holds"))
 
 
 @query("rank_models")
 def _(s, d):
-    _, ranked = TR.select_champion(prepared(s, d), fresh_path(s, "champion"), small_grid)
-    rows = [(n, 0 < c.score <= 1, all(c.score >= x.score for x in ranked[n:])) for n, c in enumerate(ranked, 1)]
-    return s.createDataFrame(rows, "place INT, in_range BOOLEAN, in_order BOOLEAN")
+    """Each family's best option by its fold scores, best family first."""
+    _, scores, ranked, _ = searched(s, d)
+    best = {r["family"]: r for r in scores.groupBy("family", "params").agg(F.avg("score").alias("score")).groupBy("family").agg(
+        F.max_by("params", F.struct("score", "params")).alias("params"), F.max("score").alias("score")).collect()}
+    rows = [(n, abs(c.score - best[c.name]["score"]) < 1e-12, all(best[c.name]["score"] >= best[x.name]["score"] for x in ranked[n:]))
+            for n, c in enumerate(ranked, 1)]
+    return s.createDataFrame(rows, "place INT, best_of_family BOOLEAN, in_order BOOLEAN")
 
 
 @query("select_champion")
 def _(s, d):
-    """What the champion, loaded from where it was saved, says of the held-out rows."""
+    """What the champion of all options, loaded from where it was saved, says of the held-out rows."""
     from pyspark.ml import PipelineModel
 
-    data, path = prepared(s, d), fresh_path(s, "champion")
-    TR.select_champion(data, path, small_grid)
+    data, _, _, path = searched(s, d)
     return held_out(PipelineModel.load(path), data.test)
 
 
+@query("score_batch_champion")
+def _(s, d):
+    """The saved champion scores the offline test rows, as ``score_batch`` does with the starting model; each score
+    is a probability, and the one that the model gave before it was saved."""
+    _, _, ranked, path = searched(s, d)
+    test, users, history = offline(s, d)
+    own = use_utc(s.newSession())  # a loaded model carries its session along
+    rows = EV.offline_features(C.with_labels(test).drop("is_cart_or_fav"), users, history, keep=("id", "label"))
+    rows = own.read.parquet(store(rows, "offline"))
+    scored = EV.score_batch(rows, TR.scorer(path))
+    before = TR.score_with(ranked[0].model, rows, "before").select("id", "before")
+    return scored.join(before, "id").select("user_id", "item_id", "id", "label", F.col("predict_score").between(0, 1).alias("in_range"),
+                                            (F.abs(F.col("predict_score") - F.col("before")) < 1e-12).alias("as_fitted"))
+
+
 # --- sinks ----------------------------------------------------------------------------------------
 @query("sink_append_behavior")
 def _(s, d):

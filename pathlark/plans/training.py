@@ -205,20 +205,28 @@ def select_champion(
     prepared: Prepared, path: str,
     grid: Callable[[int], dict[str, list[tuple[dict, Pipeline]]]] = full_grid,
 ) -> tuple[Candidate, list[Candidate]]:
-    """Search every family, save the best model that can be saved, else a small tree."""
+    """Search every family, save the best model that can be saved, else a small tree.
+
+    ``search.search`` and ``save_best`` do the same with fewer fits.
+    """
     found = []
     for name, options in grid(prepared.train_rows).items():
         found.append(grid_search_cv(prepared.train, name, options)[0])
     ranked = rank_models(found)
+    return save_best(prepared, ranked, path), ranked
+
+
+def save_best(prepared: Prepared, ranked: Sequence[Candidate], path: str) -> Candidate:
+    """Save the first of the ranked models that can be saved, else a small tree."""
     for candidate in ranked:
         try:
             candidate.model.write().overwrite().save(path)
-            return candidate, ranked
+            return candidate
         except Exception as failure:  # the next best takes its place
             print(f"could not save {candidate.name}: {failure}")
     fallback = train_fallback_tree().fit(prepared.train)
     fallback.write().overwrite().save(path)
-    return Candidate("DecisionTree", 0.0, {"depth": FALLBACK_DEPTH}, fallback), ranked
+    return Candidate("DecisionTree", 0.0, {"depth": FALLBACK_DEPTH}, fallback)
 
 
 def ensemble_from_gbt(model: GBTClassificationModel, path: str) -> Ensemble:

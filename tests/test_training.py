@@ -4,6 +4,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from pathlark.functions.trees import score_tree_ensemble
+from pathlark.plans import search as SE
 from pathlark.plans import training as TR
 from pathlark.session import fresh_path
 from tests.helpers import rows
@@ -42,11 +43,10 @@ def test_booster_as_expression(spark, prepared):
 
 
 def test_champion(spark, prepared):
-    from checks.queries import small_grid
     from pyspark.ml import PipelineModel
 
     path = fresh_path(spark, "champion")
-    best, ranked = TR.select_champion(prepared, path, small_grid)
+    best, ranked = TR.select_champion(prepared, path, lambda n: {k: v[:1] for k, v in TR.full_grid(n).items()})
     assert [c.score for c in ranked] == sorted((c.score for c in ranked), reverse=True)
     assert best is ranked[0]
     again = TR.score_with(PipelineModel.load(path), prepared.test)
@@ -68,6 +68,41 @@ def test_champion_scores_windows_and_is_measured(spark, sf, prepared):
     assert 0 < area <= 1 and report.count() >= 2
 
 
+def test_first_trees_of_a_booster_are_the_smaller_booster(spark, prepared):
+    """Why one fit answers for several numbers of trees."""
+    rows_of = prepared.train.coalesce(1)
+    large, small = (TR.train_gbt(n, 3, 0.1).fit(rows_of) for n in (6, 3))
+    whole = TR.ensemble_from_gbt(large.stages[-1], fresh_path(spark, "gbt"))
+    first = TR.Ensemble(whole.trees[:3], rate=1.0, link=2.0, weights=whole.weights[:3])
+    got = score_tree_ensemble(prepared.test, first, out="p", float32=False).select("user_id", "item_id", "p")
+    both = TR.score_with(small, prepared.test).join(got, ["user_id", "item_id"])
+    assert both.count() == prepared.test.count()
+    assert both.filter(F.abs(F.col("p") - F.col("predict_score")) > 1e-12).count() == 0
+
+
+def test_staged_search_scores_like_cross_validation(spark, prepared):
+    """Fewer fits, the same scores and the same choice."""
+    grid = [SE.Stage("GradientBoosting", lambda: TR.train_gbt(4, 3, 0.1), tuple(
+        (SE._named(trees=t), lambda t=t: TR.train_gbt(t, 3, 0.1)) for t in (2, 4)), (2, 4)), SE.stages(prepared.train_rows)[-1]]
+    scores = SE.search(prepared, grid=grid, parallel=3)
+    assert scores.count() == 9
+    _, boosted = TR.grid_search_cv(prepared.train.coalesce(1), "GradientBoosting", [({"trees": t}, TR.train_gbt(t, 3, 0.1)) for t in (2, 4)])
+    options = {(r["family"], r["params"]): r for r in SE.ranked_options(scores).collect()}
+    for t, want in zip((2, 4), boosted, strict=True):
+        assert options["GradientBoosting", SE._named(trees=t)]["score"] == pytest.approx(want, abs=1e-9)
+    assert sorted(r["place"] for r in options.values()) == [1, 2, 3] and {r["folds"] for r in options.values()} == {3}
+    best = SE.best_models(prepared, scores, grid=grid)
+    assert [c.score for c in best] == sorted((r["score"] for r in options.values() if r["family_place"] == 1), reverse=True)
+    path = fresh_path(spark, "champion")
+    assert TR.save_best(prepared, best, path) is best[0] and TR.scorer(path)(prepared.test).count() == prepared.test.count()
+
+
+def test_search_covers_the_grid():
+    plan = SE.stages(100)
+    assert len(plan) == 11 and sum(len(x.options) for x in plan) == 15
+    assert len({(x.family, name) for x in plan for name, _ in x.options}) == 15
+
+
 def test_grid_is_complete():
     sizes = {name: len(options) for name, options in TR.full_grid(100).items()}
     assert sizes == {"GradientBoosting": 8, "RandomForest": 4, "LogisticRegression": 3}
