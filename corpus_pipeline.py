@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pathlark.llm import bpe, decontaminate, language, lines, neardup
 from pathlark.llm.common import read_table
-from pathlark.session import stored
+from pathlark.session import clear_stored, stored, stored_tables
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +46,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, their number, and the digest of the text they decode to."""
     path = public_tokenizers.path(bpe.RANKS)
-    rows = bpe.decode(bpe.encode(docs, path), path)
+    rows = bpe.encode(docs, path, back=True)
     return rows.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
@@ -59,7 +59,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    """All stages. Once a stage's result is written, the tables it was made from are removed."""
+    docs, first = read_table(spark, sf_dir, "documents"), stored_tables()
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
+        clear_stored(spark, first, keep=1)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -90,13 +90,21 @@ def stored(rows: DataFrame, name: str, session: SparkSession | None = None) -> D
     return (session or rows.sparkSession).read.schema(rows.schema).parquet(path)
 
 
-def clear_stored(spark: SparkSession) -> int:
-    """Remove all tables ``stored`` has written in this process; call it when their readers are done.
+def stored_tables() -> int:
+    """How many tables ``stored`` has written in this process and ``clear_stored`` has not removed."""
+    return len(_WRITTEN)
+
+
+def clear_stored(spark: SparkSession, first: int = 0, keep: int = 0) -> int:
+    """Remove tables ``stored`` has written in this process, from number ``first`` on but for the last ``keep``;
+    call it when their readers are done.
 
     Plans are lazy, so only the job knows when that is. Returns how many were removed.
     """
-    n = 0
-    while _WRITTEN:
-        where = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+    n, end = 0, len(_WRITTEN) - keep
+    old = _WRITTEN[first:end]
+    del _WRITTEN[first:end]
+    for path in old:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
         n += bool(where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True))
     return n
