@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 
 from checks.queries import (
-    AS_OF, DELAY_SECONDS, LARGE, ONE_USER, ORDER_SIZE, ORDER_SLIDE, RANGE_END, RANGE_START, REC_BOUND_DAYS, REC_SIZE, REC_SLIDE, SPLIT_AT,
+    ARRIVALS, AS_OF, DELAY_SECONDS, LARGE, ONE_USER, ORDER_SIZE, ORDER_SLIDE, RANGE_END, RANGE_START, REC_BOUND_DAYS, REC_SIZE, REC_SLIDE, SPLIT_AT,
 )
 from pathlark.functions.trees import STARTER, Split
 from pathlark.plans import training as TR
@@ -533,7 +533,7 @@ def build() -> dict[str, str]:
     o["stream_score"] = with_(shut, """SELECT window_start, user_id, item_id, round(predict_score, 9) AS predict_score, popularity_score,
       round(fs, 12) AS final_score FROM scored""")
     o["stream_topk"] = with_(shut + "," + topk(10), f"SELECT {REC_COLS} FROM recs")
-    o["stateful_topk"] = with_(scored + "," + topk(10), f"SELECT {REC_COLS.replace(', create_time', '')} FROM recs")
+    o["stateful_topk"] = o["stateful_topk_salted"] = with_(scored + "," + topk(10), f"SELECT {REC_COLS.replace(', create_time', '')} FROM recs")
     o["late_data"] = with_(
         HALVES + "," + win(REC_SIZE, REC_SLIDE, "win", "test"), f"SELECT * FROM win WHERE {CLOSED}")
     o["late_data_reported"] = with_(
@@ -543,6 +543,15 @@ once AS (SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (PARTITION BY us
         f"SELECT *, (SELECT count(*) FROM history) AS late_rows FROM win WHERE {CLOSED}")
     o["stream_ctr_cvr_after_rec"] = with_(recs(), "").rstrip() + ctr(
         later=f"AND b.create_time > r.create_time AND b.create_time <= r.create_time + {REC_BOUND_DAYS * 86400} * CAST(1000000 AS BIGINT)")
+    steps = "s0 AS (SELECT NULL::BIGINT AS user_id, NULL::BIGINT AS item_id, NULL::DOUBLE AS p, NULL::DOUBLE AS f WHERE FALSE)"
+    for n in range(ARRIVALS):
+        steps += f""",
+b{n} AS (SELECT user_id, item_id, arg_max(predict_score, fs) AS p, max(fs) AS f FROM scored
+  WHERE (window_end // 1000000 // {REC_SLIDE}) % {ARRIVALS} = {n} GROUP BY user_id, item_id),
+s{n + 1} AS (SELECT user_id, item_id, p, f FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(f, 12) DESC, item_id) AS k FROM
+  (SELECT * FROM s{n} WHERE (user_id, item_id) NOT IN (SELECT (user_id, item_id) FROM b{n}) UNION ALL SELECT * FROM b{n})) WHERE k <= 50)"""
+    o["stream_serving"] = with_(scored + "," + steps, f"""SELECT user_id, item_id, round(p, 9) AS predict_score, round(f, 12) AS final_score,
+      row_number() OVER (PARTITION BY user_id ORDER BY round(f, 12) DESC, item_id) AS serving_rank, {us(AS_OF)} AS updated_at FROM s{ARRIVALS}""")
     o["stream_land_once"] = with_(BEH, f"SELECT DISTINCT {TYPED} FROM beh")
     return o
 

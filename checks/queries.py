@@ -31,7 +31,8 @@ from pathlark.streaming import intervals as IV
 from pathlark.streaming import jobs as JB
 from pathlark.streaming import lateness as LT
 from pathlark.streaming import replays as RP
-from pathlark.streaming.topk_state import stateful_topk
+from pathlark.streaming import serving as SV
+from pathlark.streaming.topk_state import merged_lists, salted_topk, stateful_topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,6 +90,8 @@ def feed(s, d):
 
 def tables(s, d, source="events"):
     b = beh(s, d, source)
+    if source == "orders":  # a join, which windows and both kinds of features would do again
+        b = stored(b, "behaviors")
     return b, X.user_features(b), X.item_features(b)
 
 
@@ -639,12 +642,12 @@ def _(s, d):
 
 @query("downsample_negatives")
 def _(s, d):
-    return P.downsample_negatives(stored(samples(s, d), "samples"), ratio=2)
+    return P.downsample_negatives(samples(s, d), ratio=2)
 
 
 @query("train_test_split")
 def _(s, d):
-    return P.train_test_split(stored(samples(s, d), "samples")).select("user_id", "item_id", "is_test")
+    return P.train_test_split(samples(s, d)).select("user_id", "item_id", "is_test")
 
 
 @query("with_folds")
@@ -1074,19 +1077,32 @@ def _(s, d):
     return JB.read_lists(s, path).drop("recommend_type")
 
 
+def scores_arriving(s, scored: DataFrame) -> DataFrame:
+    """Scored windows as a stream of ``ARRIVALS`` batches; a user's windows come in several of them."""
+    rows = s.read.parquet(store(scored, "scored"))
+    folder, files = fresh_path(s, "arrivals"), max(1, rows.count() // (ARRIVALS * FILE_ROWS))
+    for n in range(ARRIVALS):
+        own = rows.filter(F.pmod(F.expr(f"unix_timestamp(window_end) div {REC_SLIDE}"), F.lit(ARRIVALS)) == n)
+        own.repartition(files).write.mode("append").parquet(folder)
+    return s.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
+
+
+@query("stream_serving")
+def _(s, d):
+    """Served lists from five batches of scores: each replaces its items' scores and rewrites the buckets it touches."""
+    path = fresh_path(s, "serving")
+    stream = scores_arriving(s, scored_windows(s, d))
+    wait(SV.stream_serving(stream, path, fresh_path(s, "ck"), JB.Timing(), F.lit(AS_OF).cast("timestamp"), buckets=16))
+    return SV.read_serving(s, path, stream.schema["final_score"].dataType.simpleString())
+
+
 @query("stateful_topk")
 def _(s, d):
     """Keyed state instead of a merge: scores arrive as a stream, each user's last list counts."""
     s.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     _, u, i = tables(s, d)
-    rows = s.read.parquet(store(RC.score_features(windows(s, d), u, i), "scored"))
-    scored, path = fresh_path(s, "arrivals"), fresh_path(s, "lists")
-    files = max(1, rows.count() // (ARRIVALS * FILE_ROWS))
-    for n in range(ARRIVALS):  # users' windows come in several batches
-        own = rows.filter(F.pmod(F.unix_timestamp("window_end"), F.lit(ARRIVALS)) == n)
-        own.repartition(files).write.mode("append").parquet(scored)
-    stream = s.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(scored)
-    lists = stateful_topk(stream, flush_ms=0)
+    path = fresh_path(s, "lists")
+    lists = stateful_topk(scores_arriving(s, RC.score_features(windows(s, d), u, i)), flush_ms=0)
 
     def step(batch, batch_id):
         K.write_changes(batch, path, batch_id)
@@ -1095,6 +1111,17 @@ def _(s, d):
     return JB.current_lists(s.read.parquet(path)).drop("batch_id")
 
 
+@query("stateful_topk_salted")
+def _(s, d):
+    """As ``stateful_topk``, with eight partial lists for each user."""
+    s.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    _, u, i = tables(s, d)
+    path = fresh_path(s, "lists")
+    lists = salted_topk(scores_arriving(s, RC.score_features(windows(s, d), u, i)), salts=8, flush_ms=0)
+    wait(JB.batch_sink(lists, lambda batch, n: K.write_changes(batch, path, n), fresh_path(s, "ck"), JB.Timing(), mode="update"))
+    return merged_lists(s.read.parquet(path))
+
+
 @query("late_data")
 def _(s, d):
     """The newer half arrives first; the older half is behind the watermark and is dropped."""

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from pathlark.session import stored
+
 RANGE_DIGITS = 5  # hex digits: at most 1,048,576 hash ranges, however many rows there are
 
 
@@ -31,14 +33,13 @@ def mark_smallest(
     Rows that share the hash of the N-th, as repeated keys do, are numbered on (all columns decide, so the
     choice does not depend on row order) until N are flagged.
 
-    ``rows`` is read once for each of these steps, so hand in a stored table.
+    The rows are stored with their hash first, since each of these steps reads them; most read the hash alone.
     """
-    inside = F.coalesce(among, F.lit(False))
-    digest = seeded_hash(keys, seed)
+    names = rows.columns
+    rows = stored(rows.select("*", F.coalesce(among, F.lit(False)).alias("_in"), seeded_hash(keys, seed).alias("_h")), "hashed")
+    inside, digest = F.col("_in"), F.col("_h")
     target = F.coalesce(rows.agg(wanted.cast("bigint").alias("t")).scalar(), F.lit(0))
-    hashed = rows.filter(inside).select(digest.alias("_h")).withColumn(
-        "_range", F.substring("_h", 1, RANGE_DIGITS)
-    )
+    hashed = rows.filter(inside).select("_h", F.substring("_h", 1, RANGE_DIGITS).alias("_range"))
     before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     ranges = (
         hashed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
@@ -56,9 +57,9 @@ def mark_smallest(
     # the rows of the N-th key (one, unless keys repeat), numbered in the order of their other columns
     own = inside & (digest == limit)
     room = F.coalesce(nth.agg(F.max(F.col("_left") - F.col("_before")).alias("r")).scalar(), F.lit(0))
-    order = W.partitionBy(*keys).orderBy(*(F.col(c) for c in rows.columns))
-    tied = rows.filter(own).withColumn("_k", F.row_number().over(order)).withColumn(out, F.col("_k") <= room).drop("_k")
-    return rows.filter(~own).withColumn(out, inside & (digest < limit)).unionByName(tied)
+    order = W.partitionBy(*keys).orderBy(*(F.col(c) for c in names))
+    tied = rows.filter(own).withColumn("_k", F.row_number().over(order)).select(*names, (F.col("_k") <= room).alias(out))
+    return rows.filter(~own).select(*names, (inside & (digest < limit)).alias(out)).unionByName(tied)
 
 
 def downsample_negatives(

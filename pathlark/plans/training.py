@@ -54,9 +54,9 @@ def prepare(samples: DataFrame, seed: int = SEED) -> Prepared:
     along, and one in which rows were ever observed cannot be sent to executors.
     """
     own = use_utc(samples.sparkSession.newSession())
-    split = stored(train_test_split(stored(samples, "samples"), seed=seed), "split", own)
+    split = stored(train_test_split(samples, seed=seed), "split", own)
     keys = ("user_id", "item_id")
-    train = downsample_negatives(split.filter(~F.col("is_test")), seed=seed)
+    train = stored(downsample_negatives(split.filter(~F.col("is_test")), seed=seed), "thinned")
     ready = with_folds(class_balance_weight(train), seed=seed)
     train = stored(project_features(ready, keep=(*keys, LABEL, WEIGHT, FOLD)), "train")
     test = project_features(split.filter("is_test"), keep=(*keys, LABEL))

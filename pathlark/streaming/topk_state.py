@@ -2,6 +2,11 @@
 
 State is one small list of at most k entries per user (see ``merge_topk`` for why that is exact),
 so a user with a third of all rows costs state like any other.
+
+Such a user is still one task's key. ``salted_topk`` deals each user's items to ``salts`` partial lists by a hash
+of the item, so that an item's scores meet in one of them; ``merged_lists`` ranks a user's partial lists, at most
+k rows each, as table rows. Before either shuffle a task reduces its rows, batch by batch, to the best k items of
+a key.
 """
 
 from __future__ import annotations
@@ -11,10 +16,12 @@ from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from pathlark import schemas as S
+from pathlark.operators.ranking import top_per_user
 
 OUTPUT = T.StructType([
     T.StructField("user_id", T.LongType()),
@@ -54,8 +61,9 @@ class TopKProcessor(StatefulProcessor):
     not been written for that long; by default nothing is forgotten.
     """
 
-    def __init__(self, k: int = S.TOP_K, flush_ms: int = 5000, ttl_ms: int | None = None) -> None:
+    def __init__(self, k: int = S.TOP_K, flush_ms: int = 5000, ttl_ms: int | None = None, keys: tuple[str, ...] = ("user_id",)) -> None:
         self.k, self.flush_ms, self.ttl_ms = k, flush_ms, ttl_ms
+        self.columns = [*keys, *OUTPUT.fieldNames()[1:]]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -65,10 +73,10 @@ class TopKProcessor(StatefulProcessor):
     def _load(self) -> dict[int, tuple]:
         return {key[0]: tuple(value) for key, value in self.best.iterator()}
 
-    def _emit(self, user: int, best: dict[int, tuple]) -> pd.DataFrame:
+    def _emit(self, key: tuple, best: dict[int, tuple]) -> pd.DataFrame:
         order = sorted(best, key=lambda i: (-best[i][2], i))
-        rows = [(user, i, *best[i], n) for n, i in enumerate(order, 1)]
-        return pd.DataFrame(rows, columns=OUTPUT.fieldNames())
+        rows = [(*key, i, *best[i], n) for n, i in enumerate(order, 1)]
+        return pd.DataFrame(rows, columns=self.columns)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         before = self._load()
@@ -84,7 +92,7 @@ class TopKProcessor(StatefulProcessor):
             if before.get(item) != entry:
                 self.best.updateValue((item,), entry)
         if not self.flush_ms:
-            yield self._emit(key[0], best)
+            yield self._emit(key, best)
         elif not self.due.exists():
             self._arm(timerValues.getCurrentProcessingTimeInMs())
 
@@ -97,7 +105,7 @@ class TopKProcessor(StatefulProcessor):
         best = self._load()
         if best:
             self._arm(timerValues.getCurrentProcessingTimeInMs())
-            yield self._emit(key[0], best)
+            yield self._emit(key, best)
         else:
             self.due.clear()
 
@@ -105,12 +113,45 @@ class TopKProcessor(StatefulProcessor):
         pass
 
 
+_SCORES = ["user_id", "item_id", "predict_score", "popularity_score", "final_score"]
+
+
+def best_of_batches(scored: DataFrame, k: int, keys: list[str]) -> DataFrame:
+    """Per Arrow batch and key the best row of each of the k best items: whatever else is in it can be on no list."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in batches:
+            part = part.sort_values(["final_score", "predict_score", "popularity_score"]).drop_duplicates([*keys, "item_id"], keep="last")
+            part = part.sort_values(["final_score", "item_id"], ascending=[False, True], kind="stable")
+            yield part.groupby(keys, sort=False).head(k)
+
+    return scored.mapInPandas(run, scored.schema)
+
+
 def stateful_topk(scored: DataFrame, k: int = S.TOP_K, flush_ms: int = 5000, ttl_ms: int | None = None) -> DataFrame:
     """Ranked lists from a stream of scores. Needs the RocksDB state store."""
-    narrow = scored.select("user_id", "item_id", "predict_score", "popularity_score", "final_score")
-    return narrow.groupBy("user_id").transformWithStateInPandas(
+    return best_of_batches(scored.select(*_SCORES), k, ["user_id"]).groupBy("user_id").transformWithStateInPandas(
         statefulProcessor=TopKProcessor(k, flush_ms, ttl_ms),
         outputStructType=OUTPUT,
         outputMode="Update",
         timeMode="ProcessingTime" if flush_ms or ttl_ms else "None",
     )
+
+
+def salted_topk(scored: DataFrame, k: int = S.TOP_K, salts: int = 16, flush_ms: int = 5000, ttl_ms: int | None = None) -> DataFrame:
+    """Partial lists, ``salts`` for each user at most, with a column ``salt``."""
+    salt = F.pmod(F.xxhash64("item_id"), F.lit(salts)).cast("int")
+    keys = ["user_id", "salt"]
+    output = T.StructType([OUTPUT["user_id"], T.StructField("salt", T.IntegerType()), *OUTPUT.fields[1:]])
+    return best_of_batches(scored.select(*_SCORES, salt.alias("salt")), k, keys).groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=TopKProcessor(k, flush_ms, ttl_ms, tuple(keys)),
+        outputStructType=output,
+        outputMode="Update",
+        timeMode="ProcessingTime" if flush_ms or ttl_ms else "None",
+    )
+
+
+def merged_lists(log: DataFrame, k: int = S.TOP_K) -> DataFrame:
+    """Each user's list from a log of partial lists with ``batch_id``: the newest of each, ranked together."""
+    newest = log.groupBy("user_id", "salt").agg(F.max("batch_id").alias("batch_id"))
+    parts = log.join(newest, ["user_id", "salt", "batch_id"], "left_semi").drop("batch_id", "salt", "rank_no")
+    return top_per_user(parts, k)

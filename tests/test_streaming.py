@@ -9,7 +9,7 @@ from pathlark.operators import ranking as R
 from pathlark.operators import windows as W
 from pathlark.session import fresh_path
 from pathlark.streaming import jobs as JB
-from pathlark.streaming.topk_state import fold, stateful_topk
+from pathlark.streaming.topk_state import fold, merged_lists, salted_topk, stateful_topk
 from tests.helpers import T0, at, behaviors, rows
 
 ONE_BY_ONE = 1
@@ -178,6 +178,23 @@ def test_keyed_state_equals_batch_ranking(spark):
     assert rows(got, "user_id", "rank_no", "item_id", "final_score") == rows(want, "user_id", "rank_no", "item_id", "final_score")
 
 
+def test_partial_lists_of_a_heavy_user_spread_and_merge(spark):
+    parts = [scores(spark, 60, 60 * n).unionByName(scores(spark, 200, 500 * n).withColumn("user_id", F.lit(1).cast("bigint"))) for n in range(3)]
+    path = fresh_path(spark, "lists")
+
+    def step(batch, batch_id):
+        from pathlark.operators.sinks import write_changes
+
+        write_changes(batch, path, batch_id)
+
+    lists = salted_topk(arrivals(spark, parts), k=4, salts=6, flush_ms=0)
+    wait(JB.batch_sink(lists, step, fresh_path(spark, "ck"), JB.Timing(), mode="update"))
+    log = spark.read.parquet(path)
+    assert log.filter("user_id = 1").select("salt").distinct().count() > 2  # several keys, so several tasks
+    want = R.topk_per_user(parts[0].unionByName(parts[1]).unionByName(parts[2]), 4)
+    assert rows(merged_lists(log, 4), "user_id", "rank_no", "item_id", "final_score") == rows(want, "user_id", "rank_no", "item_id", "final_score")
+
+
 def test_keyed_state_emits_on_its_timer(spark):
     lists = stateful_topk(arrivals(spark, [scores(spark, 60, 0)]), k=2, flush_ms=500)
     q = JB.memory_sink(lists, "timed", JB.Timing(every="1 second"), mode="update")

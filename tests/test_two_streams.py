@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from pathlark.operators import sinks as K
 from pathlark.operators import windows as W
 from pathlark.operators.evaluation import ctr_cvr_after_rec
 from pathlark.session import fresh_path
@@ -10,6 +11,7 @@ from pathlark.streaming import intervals as IV
 from pathlark.streaming import jobs as JB
 from pathlark.streaming import lateness as LT
 from pathlark.streaming import replays as RP
+from pathlark.streaming import serving as SV
 from tests.helpers import at, behaviors, rows
 from tests.test_streaming import arrivals, wait
 
@@ -95,3 +97,27 @@ def test_filters_answer_for_new_keys_and_false_positives_are_verified(spark, day
         assert doubtful.count() > 2000
     else:
         assert 50 <= doubtful.count() < 50 + 0.05 * new.count()
+
+
+def test_served_lists_equal_one_merge_and_touch_only_their_buckets(spark):
+    path = fresh_path(spark, "serving")
+    kind = "user_id BIGINT, item_id BIGINT, predict_score DOUBLE, final_score DECIMAL(20,12)"
+    batches = [spark.createDataFrame([(u, i, 0.5, (u * 7 + i * 13 + n * 5) % 17) for u in users for i in range(n, n + 4)], "user_id BIGINT, item_id BIGINT, predict_score DOUBLE, final_score INT")
+               .withColumn("final_score", F.col("final_score").cast("decimal(20,12)")) for n, users in enumerate([range(12), range(3), range(5, 9), [1], range(12)])]
+    served = spark.createDataFrame([], kind + ", updated_at TIMESTAMP")
+    written, readers = [], []
+    for n, batch in enumerate(batches):
+        served = K.merge_serving(served, batch, F.lit(at(n)), size=5)
+        if n:
+            readers.append((SV.read_serving(spark, path, "decimal(20,12)"), rows(SV.read_serving(spark, path, "decimal(20,12)"))))
+        written.append(SV.update_serving(batch, path, n, F.lit(at(n)), buckets=8, size=5))
+        if n == 2:
+            assert SV.update_serving(batch, path, n, F.lit(at(n)), buckets=8, size=5) == written[-1]  # runs again
+        if readers:  # a reader that began before the write still sees its own state
+            assert rows(readers[-1][0]) == readers[-1][1]
+    columns = ("user_id", "serving_rank", "item_id", "final_score", "updated_at")
+    assert rows(SV.read_serving(spark, path, "decimal(20,12)"), *columns) == rows(served, *columns)
+    assert written[3] == 1 and max(written[1:4]) <= 4 < written[0]
+    assert rows(SV.read_user(spark, path, 7, 8, "decimal(20,12)"), *columns) == rows(served.filter("user_id = 7"), *columns)
+    assert len(K.versions(spark, f"{path}/versions")) == SV.KEPT
+    assert SV.update_serving(batches[0].limit(0), path, 9, F.lit(at(9)), buckets=8) == 0
