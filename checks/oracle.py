@@ -420,6 +420,8 @@ def build() -> dict[str, str]:
       round(fs, 12) AS final_score, serving_rank FROM recs""")
     lists = "user_id, rank_no, item_id, round(fs, 12) AS final_score, round(predict_score, 9) AS predict_score"
     o["latest_recommendations"] = with_(recs(), f"SELECT {lists}, {level('fs')} AS popularity FROM recs")
+    o["latest_recommendations_fallback"] = with_(
+        recs(), f"SELECT {lists}, CASE WHEN user_id % 2 = 0 THEN {level('fs')} ELSE {level('popularity_score')} END AS popularity FROM recs")
     o["latest_recommendations_by_rank"] = with_(
         recs(), f"SELECT {lists}, {level('popularity_score')} AS popularity FROM recs WHERE user_id = {ONE_USER}")
     o["top10_items"] = with_(
@@ -494,7 +496,7 @@ def build() -> dict[str, str]:
 
     # sinks
     o["sink_append_behavior"] = with_(BEH, "SELECT * FROM beh")
-    o["sink_upsert_recommendations"] = o["merge_recommendations"] = upsert(False)
+    o["sink_upsert_recommendations"] = o["sink_upsert_levelled"] = o["merge_recommendations"] = upsert(False)
     o["sink_upsert_recommendations_pruned"] = upsert(True)
     o["sink_serving_scores"] = with_(scored + "," + topk(50, rank="serving_rank"), f"""SELECT user_id, item_id,
       round(predict_score, 9) AS predict_score, round(fs, 12) AS final_score, serving_rank, {us(AS_OF)} AS updated_at FROM recs""")

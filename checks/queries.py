@@ -557,6 +557,13 @@ def _(s, d):
     return R.latest_recommendations(recs(s, d))
 
 
+@query("latest_recommendations_fallback")
+def _(s, d):
+    """Users with even ids are served; the others' lists come from the table."""
+    served = R.serving_top50(scored_windows(s, d)).filter("user_id % 2 = 0")
+    return R.served_or_stored(served, recs(s, d))
+
+
 @query("latest_recommendations_by_rank")
 def _(s, d):
     return R.latest_recommendations(recs(s, d), ONE_USER, by="rank")
@@ -861,6 +868,17 @@ def upserted(s, d, prune):
     return K.read_recommendations(s, path, prune)
 
 
+@query("sink_upsert_levelled")
+def _(s, d):
+    """The same upserts in a log that is merged every second batch; the newest batch comes four times."""
+    log = K.upsert_log(fresh_path(s, "recommendations"), buckets=8, every=2)
+    early, late = rec_batches(s, d)
+    late = s.read.parquet(store(late, "recs"))
+    for n, batch in enumerate((early, late, late, late, late)):
+        log.write(batch, n)
+    return K.upserted(s, log)
+
+
 @query("sink_upsert_recommendations")
 def _(s, d):
     return upserted(s, d, False)

@@ -70,3 +70,13 @@ def latest_recommendations(
         F.coalesce("predict_score", zero).alias("predict_score"),
         level.alias("popularity"),
     )
+
+
+def served_or_stored(serving: DataFrame, recommendations: DataFrame, k: int = S.TOP_K) -> DataFrame:
+    """Each user's latest list: from the serving rows where the user has any, else from the stored ones.
+
+    Served lists are ranked anew by score, stored ones come in their stored order. Serving rows have no popularity
+    score; it does not count there.
+    """
+    rest = recommendations.join(serving.select("user_id").distinct(), "user_id", "left_anti")
+    return latest_recommendations(serving, k=k).unionByName(latest_recommendations(rest, by="rank", k=k))

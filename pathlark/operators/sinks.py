@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pathlark import schemas as S
+from pathlark.operators.levels import Levels
 
 REC_KEYS = ("user_id", "item_id", "recommend_type")
 _REC_VALUES = ("predict_score", "popularity_score", "final_score", "rank_no")
@@ -143,6 +144,26 @@ def read_recommendations(spark: SparkSession, path: str, prune_stale: bool = Fal
     return merge_recommendations(read_changes(spark, path), prune_stale)
 
 
+def upsert_log(path: str, buckets: int = 256, every: int = 20) -> Levels:
+    """Recommendations as a change log whose reads stay cheap. ``read`` gives rows that ``merge_recommendations``
+    makes current; ``write`` takes batches as ``write_changes`` does."""
+    def merge(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*REC_KEYS).agg(
+            *[F.max_by(c, "batch_id").alias(c) for c in _REC_VALUES],
+            F.max("batch_id").alias("batch_id"), F.min("create_time").alias("create_time"),
+        ).select(*CHANGES.fieldNames())
+
+    return Levels(path, CHANGES, merge, user_bucket(buckets), every)
+
+
+def upserted(spark: SparkSession, log: Levels, prune_stale: bool = False, user: int | None = None, buckets: int = 256) -> DataFrame:
+    """Current rows of such a log; of one user from one bucket."""
+    if user is None:
+        return merge_recommendations(log.read(spark), prune_stale)
+    own = spark.range(1).select(F.lit(user).cast("bigint").alias("user_id")).select(user_bucket(buckets)).first()[0]
+    return merge_recommendations(log.read(spark, own).filter(F.col("user_id") == user), prune_stale)
+
+
 def compact(spark: SparkSession, path: str, new_path: str, batch_id: int) -> None:
     """Fold the log into ``new_path`` as batch ``batch_id`` (the newest number in the log)."""
     write_changes(read_recommendations(spark, path), new_path, batch_id)

@@ -137,15 +137,18 @@ def split_headered_or_not(
     """Typed rows of such lines; ``file`` names the column that tells files apart (none: all are one).
 
     A header without a required column fails the job, as nothing could be read from that file; category
-    may be missing. The first header of a file counts, others are skipped like blank lines.
+    may be missing. So does a header of more than ``MAX_COLUMNS`` names; in files without one the fields that
+    count come first. The first header of a file counts, others are skipped like blank lines.
     """
     value = F.col(line)
     rows = text.select(value.alias("_line"), (F.col(file) if file else F.lit("")).alias("_file")).filter(F.trim("_line") != "")
-    kind = "struct<" + ",".join(f"c{i}:string" for i in range(MAX_COLUMNS)) + ">"
-    cells = F.from_csv("_line", kind, {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"})
-    cells = F.array(*(cells[f"c{i}"] for i in range(MAX_COLUMNS)))
+    kind = "struct<" + ",".join(f"c{i}:string" for i in range(MAX_COLUMNS + 1)) + ">"
+    fields = F.from_csv("_line", kind, {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"})
+    cells = F.array(*(fields[f"c{i}"] for i in range(MAX_COLUMNS)))
+    too_wide = F.raise_error(F.lit(f"a header names more than {MAX_COLUMNS} columns")).cast("array<string>")
+    named_cells = F.when(fields[f"c{MAX_COLUMNS}"].isNotNull(), too_wide).otherwise(cells)
     headers = rows.filter(is_header(F.col("_line"))).withColumn("_names", F.transform(
-        cells, lambda c: F.when(F.lower(c) == "timestamp", "behavior_time").otherwise(F.coalesce(F.lower(c), F.lit("")))))
+        named_cells, lambda c: F.when(F.lower(c) == "timestamp", "behavior_time").otherwise(F.coalesce(F.lower(c), F.lit("")))))
     headers = headers.groupBy("_file").agg(F.min("_names").alias("_names"))  # a row per file
     body = rows.filter(~is_header(F.col("_line"))).withColumn("_cells", cells).join(headers, "_file", "left")
     required = [c for c in columns if c != "category_id"]

@@ -54,6 +54,15 @@ def test_header_gives_the_order(spark, workdir):
     assert rows(FD.read_headered_or_not(spark, workdir)) == [(1, 900, 12, "pv", 10), (4, 5, 0, "buy", 11), (7, 8, 0, "buy", 11)]
 
 
+def test_header_of_too_many_columns_fails(spark, workdir):
+    more = ",".join(f"x{i}" for i in range(FD.MAX_COLUMNS - 4))
+    write(f"{workdir}/a.csv", f"user_id,item_id,behavior_type,behavior_time,{more}\n1,2,pv,3,{more}\n")
+    assert rows(FD.read_headered_or_not(spark, f"{workdir}/a.csv")) == [(1, 2, 0, "pv", 3)]
+    write(f"{workdir}/b.csv", f"user_id,item_id,behavior_type,{more},behavior_time,category_id\n1,2,pv,{more},3,4\n")
+    with pytest.raises(Exception, match="more than 64 columns"):
+        FD.read_headered_or_not(spark, f"{workdir}/b.csv").collect()
+
+
 def test_header_without_a_required_column_fails(spark, workdir):
     write(f"{workdir}/a.csv", "user_id,category_id,behavior_type,behavior_time\n1,2,pv,3\n")
     with pytest.raises(Exception, match="missing required columns: item_id"):
@@ -155,3 +164,29 @@ def test_a_reader_survives_replacements(spark, workdir):
 
 def test_shared_folder_is_the_named_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_levelled_log_reads_few_folders_and_equals_the_whole_log(spark, workdir):
+    kind = "user_id BIGINT, item_id BIGINT, predict_score DOUBLE, popularity_score DECIMAL(18,4), final_score DECIMAL(28,12), rank_no INT, recommend_type STRING, create_time TIMESTAMP"
+
+    def batch(n):
+        data = [(u, (u * 3 + n * 7 + k) % 11, 0.1 * k, Dec(n), Dec(k), k + 1, "realtime", at(100 * n + k)) for u in range(n % 5, 9, 2) for k in range(3)]
+        return spark.createDataFrame(data, kind).select(*K.S.RECOMMENDATIONS.fieldNames())
+
+    log, read = K.upsert_log(f"{workdir}/log", buckets=4, every=3), []
+    for n in range(20):
+        log.write(batch(n), n)
+        read.append(len(log.folders(spark)))
+        if n in (8, 13, 14):
+            log.write(batch(n), n)  # a batch that runs again: with a snapshot, alone, with a run
+    assert max(read) <= 6 and read[8] == read[17] == 1
+    plain = f"{workdir}/plain"
+    for n in range(20):
+        K.write_changes(batch(n), plain, n)
+    for prune in (False, True):
+        assert rows(K.upserted(spark, log, prune)) == rows(K.read_recommendations(spark, plain, prune))
+    one = K.upserted(spark, log, user=4, buckets=4)
+    assert rows(one) == rows(K.read_recommendations(spark, plain).filter("user_id = 4")) and one.count()
+    import glob
+
+    assert len(glob.glob(f"{workdir}/log/level=0/*")) <= 6  # merged changes go, a turn later

@@ -78,6 +78,14 @@ def test_latest_by_score_and_by_rank(spark):
     assert rows(by_rank, "rank_no", "item_id", "popularity") == [(1, 11, "高"), (2, 10, "低")]
 
 
+def test_served_users_come_first(spark):
+    kind = "user_id BIGINT, item_id BIGINT, predict_score DOUBLE, popularity_score DECIMAL(18,4), final_score DECIMAL(28,12), rank_no INT"
+    stored = spark.createDataFrame([(u, 10 + k, 0.5, Dec("0.8"), Dec(k), 3 - k) for u in (1, 2) for k in range(3)], kind)
+    served = spark.createDataFrame([(1, 50, 0.5, Dec("0.2")), (1, 51, 0.5, Dec("0.9"))], "user_id BIGINT, item_id BIGINT, predict_score DOUBLE, final_score DECIMAL(28,12)")
+    got = R.served_or_stored(served, stored, 2)
+    assert rows(got, "user_id", "rank_no", "item_id", "popularity") == [(1, 1, 51, "高"), (1, 2, 50, "低"), (2, 1, 12, "高"), (2, 2, 11, "高")]
+
+
 def brute(node, x):
     while isinstance(node, Split):
         node = node.left if x[node.feature] <= node.threshold else node.right
