@@ -9,19 +9,18 @@ bitfield as failed, and the piece before it is shortened. No position fails twic
 The check needs merges of different ranks. Pieces from the best score that two pieces share downwards are the
 tail (runs of blanks in the known models): they are merged afterwards, pair by pair, over the pieces found.
 
-Texts are cut before blanks where no piece of the model has a blank behind anything else: merges cannot cross.
+Texts are cut between any two characters that follow each other in no piece of the model, since merges cannot
+cross there: between words, mostly. The stretches between the cuts repeat, and their ids are remembered.
 """
 
 from __future__ import annotations
 
 import hashlib
 import heapq
-import re
 from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -33,10 +32,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pathlark.llm.common import id_and_text, read_table
 
 MODEL = "piece_bpe_32k.model"
-BLANK = "▁"
-CUT = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
-#: Stretches up to this length are remembered, and how many of them, and pairs, a worker keeps before it starts anew.
-SHORT, REMEMBERED = 48, 300_000
+#: Stretches up to this length are remembered. A worker keeps twice as many of them, those met again longest, and
+#: as many pairs before it starts anew.
+SHORT, REMEMBERED = 48, 250_000
 
 
 class Merges:
@@ -68,7 +66,19 @@ class Merges:
         for piece in self.rank:
             self.longest.add_word(piece, len(piece))
         self.longest.make_automaton()
-        self.cuts = not any(re.search(f"[^{BLANK}]{BLANK}", p) for p in self.scores)
+        chars = sorted({c for p in self.scores for c in p})
+        self.number = np.zeros(0x110000, np.uint16)  # 0: in no piece of several characters
+        self.number[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+        self.follows = np.zeros((len(chars) + 1, len(chars) + 1), bool)
+        for p in self.scores:
+            own = self.number[[ord(c) for c in p]]
+            self.follows[own[:-1], own[1:]] = True
+        self.tail_pairs = {p[i : i + 2] for p in self.tail for i in range(len(p) - 1)}
+
+    def cuts(self, text: str) -> list[int]:
+        """Where stretches that merge on their own begin and end."""
+        own = self.number[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+        return [0, *(np.flatnonzero(~self.follows[own[:-1], own[1:]]) + 1).tolist(), len(text)]
 
     def compatible(self, left: str, right: str) -> bool:
         """Whether merging the characters of both gives these two pieces again.
@@ -98,28 +108,30 @@ class Merges:
         return known
 
     def backtracked(self, text: str) -> list[str]:
-        n = len(text)
+        n, shorter, pairs = len(text), self.shorter, self.pairs
         longest = array("H", [1]) * n
         if self.rank:
             for end, size in self.longest.iter(text):  # ends ascend, so the last one from a start is the longest
                 longest[end - size + 1] = size
         failed = bytearray(n // 8 + 1)
         out: list[str] = []
-        at, size = 0, longest[0] if n else 0
+        at, last, size = 0, "", longest[0] if n else 0
         while at < n:
             token = text[at : at + size]
             while True:
                 end = at + size
-                if not failed[end >> 3] & (1 << (end & 7)) and (not out or self.fits(out[-1], token)):
+                if not failed[end >> 3] & (1 << (end & 7)) and (not out or (self.fits(last, token) if (fit := pairs.get((last, token))) is None else fit)):
                     out.append(token)
-                    at, size = end, longest[end] if end < n else 0
+                    at, last = end, token
+                    size = longest[end] if end < n else 0
                     break
                 if size == 1:
                     failed[at >> 3] |= 1 << (at & 7)
                     size = len(out.pop())
                     at -= size
+                    last = out[-1] if out else ""
                     break
-                size = self.shorter[token]
+                size = shorter[token]
                 token = token[:size]
         return out
 
@@ -151,7 +163,7 @@ class Merges:
         if not self.ordered:
             return self.plainly(text)
         out = self.backtracked(text)
-        if self.tail and any(a + b in self.tail for a, b in zip(out, out[1:])):
+        if any(pair in text for pair in self.tail_pairs) and any(a + b in self.tail for a, b in zip(out, out[1:])):
             out = self.plainly(out)
         return out
 
@@ -169,9 +181,10 @@ class Encoder:
         self.ids = {self.model.id_to_piece(i): i for i in kinds if i not in other}
         self.merges = Merges({p: self.model.get_score(i) for p, i in self.ids.items()})
         self.known: dict[str, tuple[int, ...]] = {}
+        self.before: dict[str, tuple[int, ...]] = {}
 
     def stretch(self, text: str) -> tuple[int, ...]:
-        found = self.known.get(text)
+        found = self.before.get(text)
         if found is None:
             out: list[int] = []
             for piece in self.merges.pieces(text):
@@ -181,15 +194,22 @@ class Encoder:
                 else:
                     out.append(own)
             found = tuple(out)
-            if len(text) <= SHORT:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[text] = found
+        if len(text) <= SHORT:
+            if len(self.known) >= REMEMBERED:
+                self.known, self.before = {}, self.known
+            self.known[text] = found
         return found
 
     def encode(self, text: str) -> list[int]:
         plain = self.model.normalize(text)
-        return list(chain.from_iterable(map(self.stretch, CUT.findall(plain) if self.merges.cuts else [plain])))
+        out: list[int] = []
+        if plain:
+            cuts = self.merges.cuts(plain)
+            for a, b in zip(cuts, cuts[1:]):
+                own = plain[a:b]
+                found = self.known.get(own)
+                out += self.stretch(own) if found is None else found
+        return out
 
     def decode(self, ids: list[int]) -> str:
         return self.model.decode(ids)
