@@ -529,6 +529,7 @@ def build() -> dict[str, str]:
     o["stream_win_sliding_features"] = with_(BEH + "," + rw, f"SELECT * FROM win WHERE {CLOSED}")
     o["stream_hot_items"] = o["stream_console"] = hot(REC_SIZE, REC_SLIDE, closed=True)
     o["stream_user_features"], o["stream_item_features"] = o["user_features"], o["item_features"]
+    o["stream_user_features_levelled"], o["stream_item_features_levelled"] = o["user_features"], o["item_features"]
     o["stream_dedupe_behavior"] = with_(BEH, f"SELECT DISTINCT {TYPED}, behavior_time * 1000000 AS event_time FROM beh")
     closed = f",closed AS (SELECT * FROM win WHERE {CLOSED}),"
     shut = ",".join([base(), rw]) + closed + enriched("closed")

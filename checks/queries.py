@@ -30,6 +30,7 @@ from pathlark.sources import feeds as FD
 from pathlark.streaming import intervals as IV
 from pathlark.streaming import jobs as JB
 from pathlark.streaming import lateness as LT
+from pathlark.streaming import refresh as RS
 from pathlark.streaming import replays as RP
 from pathlark.streaming import serving as SV
 from pathlark.streaming.topk_state import merged_lists, salted_topk, stateful_topk
@@ -1061,6 +1062,24 @@ def _(s, d):
     return kept_current(s, d)[1]
 
 
+def counted_in_levels(s, d):
+    """Five arrivals, merged every second batch."""
+    users, items = RS.user_counts(fresh_path(s, "user_counts"), 8, 2), RS.item_counts(fresh_path(s, "item_counts"), 8, 2)
+    rows = C.valid_rows(A.behaviors_from_events(events_arriving(s, d)))
+    wait(RS.stream_counts(rows, users, items, fresh_path(s, "ck"), JB.Timing()))
+    return RS.read_features(s, users, items)
+
+
+@query("stream_user_features_levelled")
+def _(s, d):
+    return counted_in_levels(s, d)[0]
+
+
+@query("stream_item_features_levelled")
+def _(s, d):
+    return counted_in_levels(s, d)[1]
+
+
 @query("stream_dedupe_behavior")
 def _(s, d):
     """Every row twice in the same stream."""

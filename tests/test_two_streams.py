@@ -121,3 +121,22 @@ def test_served_lists_equal_one_merge_and_touch_only_their_buckets(spark):
     assert rows(SV.read_user(spark, path, 7, 8, "decimal(20,12)"), *columns) == rows(served.filter("user_id = 7"), *columns)
     assert len(K.versions(spark, f"{path}/versions")) == SV.KEPT
     assert SV.update_serving(batches[0].limit(0), path, 9, F.lit(at(9)), buckets=8) == 0
+
+
+def test_levelled_counts_equal_batch_features_and_read_little(spark):
+    from pathlark.operators import cleaning as C
+    from pathlark.operators.features import item_features, user_features
+    from pathlark.streaming import refresh as RS
+
+    data = [(n % 4 + 1 if n % 3 else 1, n % 6 + 1, n % 6 % 3 + 1, ("pv", "cart", "pv", "buy")[n % 4], n * 37) for n in range(240)]
+    sample = C.with_event_time(behaviors(spark, data))
+    users, items = RS.user_counts(fresh_path(spark, "users"), 4, 2), RS.item_counts(fresh_path(spark, "items"), 4, 2)
+    for n in range(7):
+        part = sample.filter(F.col("id") % 7 == n)
+        for log, counts in ((users, RS.user_category_counts(part)), (items, RS.agg_item_behavior_counts(part))):
+            log.write(counts, n)
+            if n == 3:
+                log.write(counts, n)  # runs again
+    got_users, got_items = RS.read_features(spark, users, items)
+    assert rows(got_users) == rows(user_features(sample)) and rows(got_items) == rows(item_features(sample))
+    assert len(users.folders(spark)) <= 4
