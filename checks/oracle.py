@@ -471,7 +471,7 @@ def build() -> dict[str, str]:
     grid += [("RandomForest", {"depth": x, "trees": t}) for x in TR.FOREST_DEPTH for t in TR.FOREST_TREES]
     grid += [("LogisticRegression", {"c": c}) for c in TR.LOGREG_C]
     o["grid_search_cv"] = " UNION ALL ".join(
-        f"SELECT '{name}' AS family, '{json.dumps(params, sort_keys=True)}' AS params, {TR.FOLDS} AS folds, TRUE AS in_range, TRUE AS place_holds"
+        f"SELECT '{name}' AS family, '{json.dumps(params, sort_keys=True)}' AS params, {TR.FOLDS}::BIGINT AS folds, TRUE AS in_range, TRUE AS place_holds"
         for name, params in grid)
     o["rank_models"] = "SELECT unnest([1, 2, 3])::INT AS place, TRUE AS best_of_family, TRUE AS in_order"
     o["score_batch_champion"] = with_(OFFLINE, "SELECT user_id, item_id, id, label, TRUE AS in_range, TRUE AS as_fitted FROM off")
