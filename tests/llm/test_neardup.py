@@ -132,3 +132,67 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     rows = neardup.classes(twice).collect()
     assert len(rows) == 6 and {(r.doc_id, r.class_id, r.kept) for r in rows} == {(0, 0, True), (1, 1, True), (None, None, True)}
     assert neardup.classes(docs.filter("false")).count() == 0
+
+
+def grown(n, words=160, seed=11):
+    """Each text is an earlier one with a few words replaced."""
+    rng = np.random.default_rng(seed)
+    out = [[f"w{seed}x{i}" for i in range(words)]]
+    for k in range(1, n):
+        own = list(out[int(rng.integers(len(out)))])
+        for at in rng.choice(words, int(rng.integers(1, 5)), False):
+            own[at] = f"e{k}y{at}"
+        out.append(own)
+    return [" ".join(x) for x in out]
+
+
+def of_all_pairs(bags, buckets, similarity=0.8):
+    """The smallest number of each one's class if all pairs of all buckets are compared."""
+    root = np.arange(len(bags))
+    for own in buckets:
+        for i in own:
+            for j in own:
+                if root[i] != root[j] and neardup.probability_jaccard(bags[i], bags[j]) >= similarity - 1e-9:
+                    low, high = sorted((root[i], root[j]))
+                    root[root == high] = low
+    return root.tolist()
+
+
+@pytest.mark.parametrize("tile", [neardup.TILE, 9])
+def test_all_pairs_of_a_bucket_count(spark, tile):
+    """One band of one component: a pair that is not compared in its bucket is found in no other."""
+    texts = grown(150) + grown(90, seed=12)
+    bags = [neardup_bag(t) for t in texts]
+    names = []
+    for t in texts:
+        raw = np.frombuffer(t.encode(), np.uint8)
+        names.append(int(neardup.prob_min_hash(*neardup.weighted(raw, np.array([0, len(raw)])), 1, 1)[0, 0]))
+    want = of_all_pairs(bags, [[i for i, x in enumerate(names) if x == n] for n in sorted(set(names))])
+    rows = neardup.classes(frame(spark, texts).repartition(5, "text"), bands=1, rows=1, tile=tile).collect()
+    assert {r.doc_id: r.class_id for r in rows} == dict(enumerate(want))
+
+
+@pytest.mark.parametrize("across", [False, True])
+def test_crossing_links_what_all_pairs_link(across):
+    rng = np.random.default_rng(3)
+    bags, roots = [], []
+    for family in range(4):
+        shingles = np.sort(rng.integers(1 << 62, size=60).astype(np.uint64))
+        for k in range(12):
+            counts = np.maximum(1, rng.integers(-1, 4, 60)) if family % 2 else np.ones(60, int)
+            counts[rng.choice(60, k, False)] = 0
+            bags.append(shingles[counts > 0].tobytes() + counts[counts > 0].astype("<u4").tobytes())
+            roots.append(100 * family + k // 2)
+    tile, roots = np.arange(len(bags)) % 2, np.array(roots)
+    some = neardup.crossing([*bags, b""], np.r_[tile, 0], np.r_[roots, 999], across, 0.7)
+    assert all(neardup.probability_jaccard(bags[i], bags[j]) >= 0.7 and roots[i] != roots[j] and not (across and tile[i] == tile[j]) for i, j in some)
+    same = [(i, j) for i in range(48) for j in range(i) if roots[i] == roots[j]]
+    wanted = [(i, j) for i in range(48) for j in range(i) if neardup.probability_jaccard(bags[i], bags[j]) >= 0.7 and not (across and tile[i] == tile[j])]
+
+    def classes_of(pairs):
+        root = list(range(48))
+        for i, j in pairs:
+            root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
+        return root
+
+    assert classes_of(same + some) == classes_of(same + wanted) and some
