@@ -69,3 +69,19 @@ def test_stages_keep_columns_and_clean_documents(spark, sf):
         assert out.count() > 0.8 * docs.count()
         empty = stage(spark, docs.filter("false"), sf)
         assert empty.columns == docs.columns and empty.count() == 0
+
+
+def test_near_duplicates_compare_all_pairs_of_a_bucket(spark, monkeypatch):
+    """With one band of one component, links that all pairs of a bucket give are the only ones."""
+    from test_neardup import grown, neardup, neardup_bag, np, of_all_pairs
+
+    texts = grown(150)
+    bags = [neardup_bag(t) for t in texts]
+    buckets = {}
+    for i, t in enumerate(texts):
+        raw = np.frombuffer(t.encode(), np.uint8)
+        buckets.setdefault(int(neardup.prob_min_hash(*neardup.weighted(raw, np.array([0, len(raw)])), 1, 1)[0, 0]), []).append(i)
+    whole = neardup.classes
+    monkeypatch.setattr(neardup, "classes", lambda docs: whole(docs, bands=1, rows=1))
+    kept = corpus_pipeline.near_duplicates(spark, frame(spark, texts), "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(of_all_pairs(bags, buckets.values())))
