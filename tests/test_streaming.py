@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pathlark.operators import cleaning as C
 from pathlark.operators import ranking as R
 from pathlark.operators import windows as W
+from pathlark.operators.sinks import write_changes
 from pathlark.session import fresh_path
 from pathlark.streaming import jobs as JB
 from pathlark.streaming.topk_state import fold, merged_lists, salted_topk, stateful_topk
@@ -195,6 +196,29 @@ def test_partial_lists_of_a_heavy_user_spread_and_merge(spark):
     assert rows(merged_lists(log, 4), "user_id", "rank_no", "item_id", "final_score") == rows(want, "user_id", "rank_no", "item_id", "final_score")
 
 
+@pytest.mark.parametrize("ttl_ms", [None, 3_600_000])
+def test_a_list_is_one_value_of_the_state(spark, ttl_ms):
+    """One row of state for each user, however long the list; with a time to live one for each entry. A missing
+    predict score stays missing."""
+    parts = [scores(spark, 60, 60 * n).withColumn("predict_score", F.expr("if(item_id % 2 = 0, null, predict_score)")) for n in range(2)]
+    path = fresh_path(spark, "lists")
+    lists = stateful_topk(arrivals(spark, parts), k=4, flush_ms=0, ttl_ms=ttl_ms)
+    timing = JB.Timing(every="1 second" if ttl_ms else None)  # with a time to live the stream never ends by itself
+    q = JB.batch_sink(lists, lambda batch, n: write_changes(batch, path, n), fresh_path(spark, "ck"), timing, mode="update")
+    try:
+        for _ in range(90):
+            if q.awaitTermination(1) or (ttl_ms and q.lastProgress and q.lastProgress.batchId >= 2):
+                break
+        held = q.lastProgress.stateOperators[0].numRowsTotal
+    finally:
+        q.stop()
+    got = JB.current_lists(spark.read.parquet(path))
+    columns = ["user_id", "rank_no", "item_id", "predict_score", "final_score"]
+    assert rows(got, *columns) == rows(R.topk_per_user(parts[0].unionByName(parts[1]), 4), *columns)
+    if not ttl_ms:
+        assert held == got.select("user_id").distinct().count() < got.count()
+
+
 def test_keyed_state_emits_on_its_timer(spark):
     lists = stateful_topk(arrivals(spark, [scores(spark, 60, 0)]), k=2, flush_ms=500)
     q = JB.memory_sink(lists, "timed", JB.Timing(every="1 second"), mode="update")
